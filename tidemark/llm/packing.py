@@ -16,6 +16,7 @@ An empty table gives an empty result. Other columns of the input are not read.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections import defaultdict
 
 import numpy as np
@@ -132,12 +133,20 @@ def configurations(sizes: list[int], demand: list[int], capacity: int, rounds: i
     return [(basis[:, k].astype(int), float(x[k])) for k in range(m) if x[k] > 1e-9]
 
 
-def plan_runs(counts: dict[int, int], capacity: int = SEQUENCE, groups: int = 48, small: int | None = None) -> np.ndarray:
+def sequences(runs: np.ndarray) -> int:
+    return int((runs[:, 3] - (runs[:, 1] - runs[:, 2]) // runs[:, 4]).max()) if len(runs) else 0
+
+
+def plan_runs(counts: dict[int, int], capacity: int = SEQUENCE) -> np.ndarray:
+    """The plan of fewest sequences over a few numbers of groups and limits of small lengths."""
+    return min((grouped_runs(counts, capacity, g, max(1, capacity // k)) for g in (24, 48, 96) for k in (16, 5, 3)), key=sequences)
+
+
+def grouped_runs(counts: dict[int, int], capacity: int, groups: int, small: int) -> np.ndarray:
     """Runs (length, first rank, end rank, first sequence, pieces of the run per sequence, offset).
 
     The number of runs depends on the capacity and the number of groups, not on the counts.
     """
-    small = capacity // 16 if small is None else small
     runs: list[tuple[int, int, int, int, int, int]] = []
     left: dict[int, list[list[int]]] = defaultdict(list)  # by length: [first rank, number]
     gaps: dict[int, list[tuple[int, int]]] = defaultdict(list)  # by free room: (first sequence, number)
@@ -150,51 +159,42 @@ def plan_runs(counts: dict[int, int], capacity: int = SEQUENCE, groups: int = 48
     # Groups of equal cardinality, in falling order of length; each has its largest length as size.
     share, grouped, room = -(-total // groups) if total else 0, [], 0
     for length, n in large:
-        rank = 0
-        while rank < n:
+        while n:
             if not room:
-                grouped.append((length, []))
+                grouped.append([length, 0])
                 room = share
-            take = min(room, n - rank)
-            grouped[-1][1].append([length, rank, take])
-            rank, room = rank + take, room - take
-    sizes: dict[int, list[list[int]]] = defaultdict(list)
-    for size, items in grouped:
-        sizes[size] += items
-    names = list(sizes)
-    patterns = configurations(names, [sum(i[2] for i in sizes[s]) for s in names], capacity) if names else []
+            take = min(room, n)
+            grouped[-1][1] += take
+            n, room = n - take, room - take
+    sizes: dict[int, int] = defaultdict(int)
+    for size, n in grouped:
+        sizes[size] += n
+    names, stock, lengths = list(sizes), {length: [0, n] for length, n in large}, sorted(length for length, _ in large)
+    patterns = configurations(names, [sizes[s] for s in names], capacity) if names else []
     for pattern, often in sorted(patterns, key=lambda p: -p[1]):
         slots = [s for s, k in zip(names, pattern, strict=True) for _ in range(k)]
-        often = int(min([often + 1e-6, *(sum(i[2] for i in sizes[s]) // slots.count(s) for s in set(slots))]))
-        if not often or not slots:
-            continue
-        filled = []
-        for s in slots:  # actual pieces take the places, largest first
-            need, taken = often, []
-            while need:
-                item = sizes[s][0]
-                k = min(need, item[2])
-                taken.append((item[0], item[1], k))
-                item[1], item[2], need = item[1] + k, item[2] - k, need - k
-                if not item[2]:
-                    sizes[s].pop(0)
-            filled.append(taken)
-        marks = sorted({m for taken in filled for m in np.cumsum([k for _, _, k in taken]).tolist()})
-        at, where = 0, [[0, 0] for _ in slots]  # of each slot: which run, how far in it
-        for mark in marks:
-            used = 0
-            for taken, w in zip(filled, where, strict=True):
-                length, rank, k = taken[w[0]]
-                runs.append((length, rank + w[1], rank + w[1] + mark - at, seq + at, 1, used))
-                used += length
-                w[1] += mark - at
-                if w[1] == k:
-                    w[:] = [w[0] + 1, 0]
-            gaps[capacity - used].append((seq + at, mark - at))
-            at = mark
-        seq += often
-    for items in sizes.values():
-        for length, rank, n in items:
+        many = int(often + 1e-6)
+        open_ = [(seq, many, 0, 0)] if many and slots else []  # first sequence, number, next slot, used
+        seq += many if open_ else 0
+        while open_:  # actual pieces take the places, the largest that fit; from the last place on they take up what rounding left
+            first, many, k, used = open_.pop()
+            limit = capacity - used if k >= len(slots) - 1 else min(slots[k], capacity - used)
+            at = bisect_right(lengths, limit)
+            if not at:
+                gaps[capacity - used].append((first, many))
+                continue
+            length = lengths[at - 1]
+            rank, n = stock[length]
+            take = min(many, n)
+            runs.append((length, rank, rank + take, first, 1, used))
+            stock[length] = [rank + take, n - take]
+            if take == n:
+                lengths.pop(at - 1)
+            if take < many:
+                open_.append((first + take, many - take, k, used))
+            open_.append((first, take, k + 1, used + length))
+    for length, (rank, n) in stock.items():
+        if n:
             left[length].append([rank, n])
     for length, n in counts.items():
         if length <= small and length < capacity and n:
