@@ -1,4 +1,4 @@
 """Queries of the corpus operators and their SQL."""
 
-from tidemark.llm import packing, pieces  # noqa: F401
+from tidemark.llm import exact, packing, pieces  # noqa: F401
 from tidemark.llm.common import ORACLE, QUERIES  # noqa: F401
