@@ -52,3 +52,42 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0xC4CEB9FE1A85EC53)
     x ^= x >> np.uint64(33)
     return x
+
+
+def hash_sample(rows: DataFrame, id_column: str, size: int) -> DataFrame:
+    """The rows whose id's hash is among the size smallest: a bounded sample, the same for any partitioning."""
+    own = rows.withColumn("hash_", F.xxhash64(F.lit(7), F.col(id_column)))
+    top = own.select("hash_").orderBy("hash_").limit(size).agg(F.max("hash_")).first()[0]
+    return own.where(F.col("hash_") <= F.lit(top if top is not None else 0)).drop("hash_")
+
+
+def appended(df: DataFrame, text: str, fields: str, compute: Callable) -> DataFrame:
+    """All columns of df and the named fields, which compute(list of texts) gives as Arrow arrays, a slice of rows at a time."""
+    import pyarrow as pa
+
+    names = df.columns
+    new = [f.split()[0] for f in fields.split(",")]
+    assert not set(new) & set(names), "a new column's name is taken"
+    at = names.index(text)
+
+    def add(batches):
+        for batch in batches:
+            for part in slices(batch, at):
+                got = compute(part.column(at).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns, *got], [*names, *new])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    return df.mapInArrow(add, f"{schema}, {fields}")
+
+
+def slices(batch, at: int, most: int = 4_000_000, rows: int = 512):
+    """Parts of the batch with about this many bytes of text at most, or one row."""
+    sizes = np.zeros(batch.num_rows + 1, np.int64)
+    import pyarrow.compute as pc
+
+    sizes[1:] = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        end = max(start + 1, min(start + rows, int(np.searchsorted(sizes, sizes[start] + most, "right")) - 1))
+        yield batch.slice(start, end - start)
+        start = end
