@@ -1,4 +1,4 @@
 """Queries of the corpus operators and their SQL."""
 
-from tidemark.llm import exact, language, packing, pieces, quality  # noqa: F401
+from tidemark.llm import exact, jaccard, language, packing, pieces, quality  # noqa: F401
 from tidemark.llm.common import ORACLE, QUERIES  # noqa: F401
