@@ -1,9 +1,10 @@
 """Operator 8: n-gram Jaccard join with count-vector bounds.
 
 A document's set holds its distinct 5-word shingles as 64-bit hashes. Equal sets are
-one node (digest, size). The hashes fall into 64 groups; a node's counts by group are
-a point, and the sum of coordinate minima of two points bounds their overlap, which
-links must have at 3/7 of both sizes together.
+one node (digest, size). The hashes fall into 512 groups, eight of which make a coarse
+group; a node's counts by group are a point, and the sum of coordinate minima of two
+points bounds their overlap, which links must have at 3/7 of both sizes together.
+Trees hold the coarse points; pairs that these allow are held to the fine ones.
 
 Candidates meet in buckets: a set's rarest quarter of shingles, in an order all sets
 share (frequent shingles last; the order only steers the work, any order loses no
@@ -31,9 +32,11 @@ from tidemark.llm.common import QUERIES, mix64, slices, table, written
 from tidemark.llm.graph import components
 
 WIDTH = 5
-GROUPS = 64
+GROUPS = 512
+COARSE = 64
 #: Shingles known to be frequent, at most; they are ordered last. It bounds a broadcast and changes no result.
 FREQUENT = 1 << 17
+OFTEN = 4
 #: Members of a bucket held against each other in one go; larger buckets are dealt in blocks.
 BLOCK = 2048
 
@@ -90,13 +93,17 @@ def digest(s: np.ndarray) -> int:
     return int((mix64(s ^ np.uint64(0x51ED270B0A1F39C1))).sum(dtype=np.uint64).astype(np.int64))
 
 
-def counts(s: np.ndarray) -> bytes:
-    n = np.bincount((s >> np.uint64(58)).astype(np.intp), minlength=GROUPS)
-    return n.astype("<u2" if len(s) < 1 << 16 else "<u4").tobytes()
+def counts(s: np.ndarray) -> np.ndarray:
+    return np.bincount((s >> np.uint64(55)).astype(np.intp), minlength=GROUPS)
 
 
-def points(vectors: list[bytes]) -> np.ndarray:
-    return np.stack([np.frombuffer(v, "<u2" if len(v) == 2 * GROUPS else "<u4").astype(np.int32) for v in vectors])
+def stored(n: np.ndarray) -> bytes:
+    """Counts in as many bytes as the largest needs."""
+    return n.astype("<u1" if n.max() < 1 << 8 else "<u2" if n.max() < 1 << 16 else "<u4").tobytes()
+
+
+def points(vectors: list[bytes], groups: int) -> np.ndarray:
+    return np.stack([np.frombuffer(v, f"<u{len(v) // groups}").astype(np.int32) for v in vectors])
 
 
 def needed(n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -135,22 +142,24 @@ class CountTree:
 
 
 def scanned(docs: DataFrame) -> DataFrame:
-    """Rows of kind 0: doc_id, d, n, counts of every document; of kind 1: shingles (d) that a stretch of texts holds 8 times or more (n)."""
+    """Rows of kind 0: doc_id, d, n, counts and coarse counts of every document; of kind 1: shingles (d) that a stretch of texts holds OFTEN times or more (n)."""
 
     def flush(sets):
         if sets:
             s, n = np.unique(np.concatenate(sets), return_counts=True)
-            often = n >= 8
+            often = n >= OFTEN
             s, n = s[often].view(np.int64), n[often]
             if len(s):
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(s), pa.int64()), pa.array(s), pa.array(n), pa.nulls(len(s), pa.binary()), pa.array(np.ones(len(s), np.int32))], ["doc_id", "d", "n", "counts", "kind"])
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(s), pa.int64()), pa.array(s), pa.array(n), pa.nulls(len(s), pa.binary()), pa.nulls(len(s), pa.binary()), pa.array(np.ones(len(s), np.int32))], ["doc_id", "d", "n", "counts", "coarse", "kind"])
 
     def scan(batches):
         held, size = [], 0
         for batch in batches:
             for part in slices(batch, 1):
                 sets = shingle_sets(part.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([digest(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([counts(s) for s in sets], pa.binary()), pa.array(np.zeros(len(sets), np.int32))], ["doc_id", "d", "n", "counts", "kind"])
+                fine = [counts(s) for s in sets]
+                coarse = [n.reshape(COARSE, -1).sum(1) for n in fine]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([digest(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(map(stored, fine), pa.binary()), pa.array(map(stored, coarse), pa.binary()), pa.array(np.zeros(len(sets), np.int32))], ["doc_id", "d", "n", "counts", "coarse", "kind"])
                 held += sets
                 size += sum(map(len, sets))
                 if size > 4_000_000:
@@ -158,7 +167,7 @@ def scanned(docs: DataFrame) -> DataFrame:
                     held, size = [], 0
         yield from flush(held)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(scan, "doc_id long, d long, n long, counts binary, kind int")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(scan, "doc_id long, d long, n long, counts binary, coarse binary, kind int")
 
 
 def postings(docs: DataFrame, frequent: list[tuple[int, int]], hot: int = 20_000) -> DataFrame:
@@ -196,7 +205,7 @@ def postings(docs: DataFrame, frequent: list[tuple[int, int]], hot: int = 20_000
     return docs.select(F.col("text").cast("string")).mapInArrow(emit, "key long, part int, d long, n long")
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """a, b of the given pairs (a, b: ids of nodes) that are linked; whole texts are dealt by b, many pairs of one b in parts."""
     pairs = written(pairs, "pairs")
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
@@ -232,7 +241,7 @@ def bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 na, nb = (batch.column(k).to_numpy() for k in (2, 4))
-                ok = np.minimum(points(batch.column(3).to_pylist()), points(batch.column(5).to_pylist())).sum(1) >= needed(na, nb)
+                ok = np.concatenate([np.minimum(points(batch.column(3).slice(k, 1000).to_pylist(), GROUPS), points(batch.column(5).slice(k, 1000).to_pylist(), GROUPS)).sum(1) for k in range(0, batch.num_rows, 1000)]) >= needed(na, nb)
                 yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok)) for c in batch.columns[:2]], ["a", "b"])
 
     sized = pairs.join(x, "a").join(y, "b").where("4 * na >= 3 * nb and 4 * nb >= 3 * na")
@@ -240,15 +249,22 @@ def bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def searched(members: DataFrame) -> DataFrame:
-    """a, b of different components that the R-trees of the buckets allow; members: key, id, n, counts, component."""
+    """a, b of different components that the R-trees of the buckets allow; members: key, id, n, coarse, component."""
     sizes = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.countDistinct("component").alias("apart")).where("apart > 1")
     own = members.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    own = own.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "n", "counts", "component", "block")
+    own = own.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "n", "coarse", "component", "block")
 
     def pairs(held):
         ids, n, comp, block = (np.array([r[k] for r in held]) for k in (3, 4, 6, 7))
-        p = points([r[5] for r in held])
+        p = points([r[5] for r in held], COARSE)
         i, j = held[0][1], held[0][2]
+        if i == j and len(held) <= 48:  # fewer than a tree is worth
+            x, y = np.triu_indices(len(held), 1)
+            ok = (comp[x] != comp[y]) & (4 * n[x] >= 3 * n[y]) & (4 * n[y] >= 3 * n[x])
+            x, y = x[ok], y[ok]
+            ok = np.minimum(p[x], p[y]).sum(1) >= needed(n[x], n[y])
+            x, y = ids[x[ok]], ids[y[ok]]
+            return pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], ["a", "b"])
         left = np.flatnonzero(block == i)
         tree_rows = np.flatnonzero(block == j)
         tree = CountTree(p[tree_rows], n[tree_rows])
@@ -278,10 +294,10 @@ def searched(members: DataFrame) -> DataFrame:
 def linked(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per row."""
     both = written(scanned(docs), "scan")
-    rows = both.where("kind = 0").select("doc_id", "d", "n", "counts")
+    rows = both.where("kind = 0").select("doc_id", "d", "n", "counts", "coarse")
     often = both.where("kind = 1").groupBy(F.col("d").alias("key")).agg(F.sum("n").alias("times"))
     frequent = [tuple(r) for r in often.orderBy(F.desc("times"), "key").limit(FREQUENT).collect()]
-    nodes = written(rows.where("n > 0 and doc_id is not null").groupBy("d", "n").agg(F.min("doc_id").alias("id"), F.first("counts").alias("counts")), "nodes")
+    nodes = written(rows.where("n > 0 and doc_id is not null").groupBy("d", "n").agg(F.min("doc_id").alias("id"), F.first("counts").alias("counts"), F.first("coarse").alias("coarse")), "nodes")
     ids = nodes.select("d", "n", "id")
     in_order = Window.partitionBy("key", "part").orderBy("n", "d").rowsBetween(Window.unboundedPreceding, 0)
     stars = postings(docs.where("doc_id is not null"), frequent).withColumn("pivot", F.first(F.struct("d", "n")).over(in_order))
@@ -292,17 +308,17 @@ def linked(docs: DataFrame) -> DataFrame:
     stars = stars.select("key", "d", "n", F.col("pivot.d").alias("pd"), F.col("pivot.n").alias("pn")).union(across).where("d <> pd or n <> pn")
     named = stars.select("d", "n", "pd", "pn").distinct().join(ids.withColumnRenamed("id", "a"), ["d", "n"]).join(ids.select(F.col("d").alias("pd"), F.col("n").alias("pn"), F.col("id").alias("b")), ["pd", "pn"])
     tried = written(named, "tried")
-    links = verified(bounded(tried.select("a", "b"), nodes), nodes, docs)
+    links = verified(bounded(tried.select("a", "b"), nodes), docs)
     found = components(links)
     # Buckets with a member that is not linked to the smallest, and more than that pair.
     apart = tried.join(links, ["a", "b"], "left_anti").select("d", "n", "pd", "pn")
     keys = stars.join(apart, ["d", "n", "pd", "pn"], "left_semi").select("key").distinct()
     more = stars.join(keys, "key", "left_semi").select("key", "d", "n").distinct()
     full = more.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
-    more = more.join(full, "key", "left_semi").join(nodes, ["d", "n"]).join(found.select(F.col("node").alias("id"), "component"), "id", "left")
-    members = written(more.select("key", "id", "n", "counts", F.coalesce("component", "id").alias("component")), "members")
+    more = more.join(full, "key", "left_semi").join(nodes.select("d", "n", "id", "coarse"), ["d", "n"]).join(found.select(F.col("node").alias("id"), "component"), "id", "left")
+    members = written(more.select("key", "id", "n", "coarse", F.coalesce("component", "id").alias("component")), "members")
     further = searched(members).join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    links2 = verified(further, nodes, docs)
+    links2 = verified(bounded(further, nodes), docs)
     found = components(links.union(links2)) if links2.limit(1).count() else found
     whole = ids.join(found.select(F.col("node").alias("id"), "component"), "id", "left").select("d", "n", F.coalesce("component", "id").alias("component"))
     return rows.join(whole, ["d", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
