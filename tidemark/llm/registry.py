@@ -1,4 +1,4 @@
 """Queries of the corpus operators and their SQL."""
 
-from tidemark.llm import exact, jaccard, language, lines, packing, pieces, quality  # noqa: F401
+from tidemark.llm import chroma, exact, jaccard, language, licences, lines, packing, pieces, quality, warc  # noqa: F401
 from tidemark.llm.common import ORACLE, QUERIES  # noqa: F401
