@@ -1,14 +1,15 @@
 """Operator 8: n-gram Jaccard join with count-vector bounds.
 
 A document's set holds its distinct 5-word shingles as 64-bit hashes. Equal sets are
-one node (digest, size). The hashes fall into 512 groups, eight of which make a coarse
+one node (digest, size). The hashes fall into 512 groups, two of which make a coarse
 group; a node's counts by group are a point, and the sum of coordinate minima of two
 points bounds their overlap, which links must have at 3/7 of both sizes together.
 Trees hold the coarse points; pairs that these allow are held to the fine ones.
 
 Candidates meet in buckets: a set's rarest quarter of shingles, in an order all sets
 share (frequent shingles last; the order only steers the work, any order loses no
-link). In each bucket every member is first held against the smallest one. Links
+link). In each bucket every member is first held against the one of smallest digest,
+which many buckets of a group of near copies have in common. Links
 found so are verified on the whole sets and give first components. Buckets with
 members still apart are then searched by an R-tree over their points: nodes hold
 coordinate maxima, and whatever the bound rules out, by size or by minima, is left
@@ -33,7 +34,7 @@ from tidemark.llm.graph import components
 
 WIDTH = 5
 GROUPS = 512
-COARSE = 64
+COARSE = 256
 #: Shingles known to be frequent, at most; they are ordered last. It bounds a broadcast and changes no result.
 FREQUENT = 1 << 17
 OFTEN = 4
@@ -299,18 +300,18 @@ def linked(docs: DataFrame) -> DataFrame:
     frequent = [tuple(r) for r in often.orderBy(F.desc("times"), "key").limit(FREQUENT).collect()]
     nodes = written(rows.where("n > 0 and doc_id is not null").groupBy("d", "n").agg(F.min("doc_id").alias("id"), F.first("counts").alias("counts"), F.first("coarse").alias("coarse")), "nodes")
     ids = nodes.select("d", "n", "id")
-    in_order = Window.partitionBy("key", "part").orderBy("n", "d").rowsBetween(Window.unboundedPreceding, 0)
+    in_order = Window.partitionBy("key", "part").orderBy("d", "n").rowsBetween(Window.unboundedPreceding, 0)
     stars = postings(docs.where("doc_id is not null"), frequent).withColumn("pivot", F.first(F.struct("d", "n")).over(in_order))
     stars = written(stars.where("d <> pivot.d or n <> pivot.n or part > 0"), "stars")
-    # Keys dealt in parts: the parts' smallest members are held against the smallest of all.
-    tops = stars.where("part > 0").groupBy("key").agg(F.min(F.struct("pivot.n", "pivot.d")).alias("top"))
+    # Keys dealt in parts: the parts' first members are held against the first of all.
+    tops = stars.where("part > 0").groupBy("key").agg(F.min("pivot").alias("top"))
     across = stars.where("part > 0").select("key", "pivot").distinct().join(tops, "key").select("key", F.col("pivot.d").alias("d"), F.col("pivot.n").alias("n"), F.col("top.d").alias("pd"), F.col("top.n").alias("pn"))
     stars = stars.select("key", "d", "n", F.col("pivot.d").alias("pd"), F.col("pivot.n").alias("pn")).union(across).where("d <> pd or n <> pn")
     named = stars.select("d", "n", "pd", "pn").distinct().join(ids.withColumnRenamed("id", "a"), ["d", "n"]).join(ids.select(F.col("d").alias("pd"), F.col("n").alias("pn"), F.col("id").alias("b")), ["pd", "pn"])
     tried = written(named, "tried")
     links = verified(bounded(tried.select("a", "b"), nodes), docs)
     found = components(links)
-    # Buckets with a member that is not linked to the smallest, and more than that pair.
+    # Buckets with a member that is not linked to the first, and more than that pair.
     apart = tried.join(links, ["a", "b"], "left_anti").select("d", "n", "pd", "pn")
     keys = stars.join(apart, ["d", "n", "pd", "pn"], "left_semi").select("key").distinct()
     more = stars.join(keys, "key", "left_semi").select("key", "d", "n").distinct()
