@@ -2,24 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import partial
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+from tidemark.plans import market, roles
 
 
-def query(name: str, oracle: str | None = None):
-    """Registers the decorated function under this name."""
+def _run(spark, sf_dir, sql):
+    return roles.run(spark, sf_dir, sql)
 
-    def add(f):
-        QUERIES[name] = f
-        if oracle:
-            ORACLE[name] = oracle
-        return f
 
-    return add
-
-
-@query("latest_bar")
-def latest_bar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/part.parquet").groupBy("p_brand").count()
+QUERIES = {name: partial(_run, sql=sql) for name, sql in market.SQL.items()}
+ORACLE: dict[str, str] = {name: roles.duck(sql) for name, sql in market.SQL.items()}
