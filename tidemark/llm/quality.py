@@ -149,6 +149,8 @@ class RuleEnsemble:
         if not len(y) or y.min() == y.max():
             return cls(0.0 if not len(y) else 4.0 * (2 * float(y[0]) - 1), [])
         rules = tree_rules(x, y)
+        if not rules:  # too few rows for any split
+            return cls(float(np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3))), [])
         a = np.stack([holds(x, r) for r in rules], 1).astype(float)
         b, w = lasso_logistic(a, y)
         return cls(b, [(r, float(v)) for r, v in zip(rules, w, strict=True) if abs(v) > 1e-6])
