@@ -36,7 +36,7 @@ WIDTH = 5
 GROUPS = 512
 COARSE = 256
 #: Shingles known to be frequent, at most; they are ordered last. It bounds a broadcast and changes no result.
-FREQUENT = 1 << 17
+FREQUENT = 1 << 19
 OFTEN = 4
 #: Members of a bucket held against each other in one go; larger buckets are dealt in blocks.
 BLOCK = 2048
@@ -156,14 +156,14 @@ def scanned(docs: DataFrame) -> DataFrame:
     def scan(batches):
         held, size = [], 0
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, 1_000_000):
                 sets = shingle_sets(part.column(1).to_pylist())
                 fine = [counts(s) for s in sets]
                 coarse = [n.reshape(COARSE, -1).sum(1) for n in fine]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([digest(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(map(stored, fine), pa.binary()), pa.array(map(stored, coarse), pa.binary()), pa.array(np.zeros(len(sets), np.int32))], ["doc_id", "d", "n", "counts", "coarse", "kind"])
                 held += sets
                 size += sum(map(len, sets))
-                if size > 4_000_000:
+                if size > 3_000_000:
                     yield from flush(held)
                     held, size = [], 0
         yield from flush(held)
@@ -171,17 +171,17 @@ def scanned(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(scan, "doc_id long, d long, n long, counts binary, coarse binary, kind int")
 
 
-def postings(docs: DataFrame, frequent: list[tuple[int, int]], hot: int = 20_000) -> DataFrame:
-    """key, part, d, n: the prefix of each set; frequent: (shingle, times), at most FREQUENT of them. Keys frequent beyond hot are dealt in parts."""
-    f = np.array(sorted(frequent), np.int64).reshape(-1, 2)
-    f = f[np.argsort(f[:, 0].view(np.uint64))]
-    sent = docs.sparkSession.sparkContext.broadcast((f[:, 0].view(np.uint64).copy(), f[:, 1].copy()))
+def postings(docs: DataFrame, frequent: pa.Table, hot: int = 20_000) -> DataFrame:
+    """key, part, d, n: the prefix of each set; frequent: shingles and times, at most FREQUENT rows. Keys frequent beyond hot are dealt in parts."""
+    keys, times = frequent.column("key").to_numpy().view(np.uint64), frequent.column("times").to_numpy()
+    order = np.argsort(keys)
+    sent = docs.sparkSession.sparkContext.broadcast((keys[order], times[order]))
 
     def emit(batches):
         keys, often = sent.value
         seen: set[tuple[int, int]] = set()
         for batch in batches:
-            for part in slices(batch, 0):
+            for part in slices(batch, 0, 1_000_000):
                 out = ([], [], [], [])
                 for s in shingle_sets(part.column(0).to_pylist()):
                     n = len(s)
@@ -218,7 +218,7 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     def verify(batches):
         own, base = None, None
         for batch in batches:
-            for part in slices(batch, 4):
+            for part in slices(batch, 4, 1_000_000):
                 b, kind, a = (part.column(k).to_pylist() for k in (0, 2, 3))
                 out = ([], [])
                 for x, k, y, s in zip(b, kind, a, shingle_sets(part.column(4).to_pylist()), strict=True):
@@ -297,7 +297,7 @@ def linked(docs: DataFrame) -> DataFrame:
     both = written(scanned(docs), "scan")
     rows = both.where("kind = 0").select("doc_id", "d", "n", "counts", "coarse")
     often = both.where("kind = 1").groupBy(F.col("d").alias("key")).agg(F.sum("n").alias("times"))
-    frequent = [tuple(r) for r in often.orderBy(F.desc("times"), "key").limit(FREQUENT).collect()]
+    frequent = often.orderBy(F.desc("times"), "key").limit(FREQUENT).toArrow()
     nodes = written(rows.where("n > 0 and doc_id is not null").groupBy("d", "n").agg(F.min("doc_id").alias("id"), F.first("counts").alias("counts"), F.first("coarse").alias("coarse")), "nodes")
     ids = nodes.select("d", "n", "id")
     in_order = Window.partitionBy("key", "part").orderBy("d", "n").rowsBetween(Window.unboundedPreceding, 0)
