@@ -307,13 +307,13 @@ def linked(docs: DataFrame) -> DataFrame:
     tops = stars.where("part > 0").groupBy("key").agg(F.min("pivot").alias("top"))
     across = stars.where("part > 0").select("key", "pivot").distinct().join(tops, "key").select("key", F.col("pivot.d").alias("d"), F.col("pivot.n").alias("n"), F.col("top.d").alias("pd"), F.col("top.n").alias("pn"))
     stars = stars.select("key", "d", "n", F.col("pivot.d").alias("pd"), F.col("pivot.n").alias("pn")).union(across).where("d <> pd or n <> pn")
-    named = stars.select("d", "n", "pd", "pn").distinct().join(ids.withColumnRenamed("id", "a"), ["d", "n"]).join(ids.select(F.col("d").alias("pd"), F.col("n").alias("pn"), F.col("id").alias("b")), ["pd", "pn"])
+    named = stars.where("4 * n >= 3 * pn and 4 * pn >= 3 * n").select("d", "n", "pd", "pn").distinct().join(ids.withColumnRenamed("id", "a"), ["d", "n"]).join(ids.select(F.col("d").alias("pd"), F.col("n").alias("pn"), F.col("id").alias("b")), ["pd", "pn"])
     tried = written(named, "tried")
     links = verified(bounded(tried.select("a", "b"), nodes), docs)
     found = components(links)
     # Buckets with a member that is not linked to the first, and more than that pair.
-    apart = tried.join(links, ["a", "b"], "left_anti").select("d", "n", "pd", "pn")
-    keys = stars.join(apart, ["d", "n", "pd", "pn"], "left_semi").select("key").distinct()
+    near = tried.join(links, ["a", "b"], "left_semi").select("d", "n", "pd", "pn")
+    keys = stars.join(near, ["d", "n", "pd", "pn"], "left_anti").select("key").distinct()
     more = stars.join(keys, "key", "left_semi").select("key", "d", "n").distinct()
     full = more.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
     more = more.join(full, "key", "left_semi").join(nodes.select("d", "n", "id", "coarse"), ["d", "n"]).join(found.select(F.col("node").alias("id"), "component"), "id", "left")
