@@ -10,8 +10,9 @@ Candidates meet in buckets: a set's rarest quarter of shingles, in an order all
 share (frequent shingles last; the order only steers the work, any order loses no
 link). In each bucket every member is first held against the one of smallest digest,
 which many buckets of a group of near copies have in common. Links
-found so are verified on the whole sets and give first components. Buckets with
-members still apart are then searched by an R-tree over their points: nodes hold
+found so are verified on the whole sets and give first components. In buckets with
+members still apart two more pivots follow, so that few members of a group of near
+copies stay outside its component. What is still apart is then searched by an R-tree over their points: nodes hold
 coordinate maxima, and whatever the bound rules out, by size or by minima, is left
 out; surviving pairs of different components are verified too. Pairs within a
 component need no test, as they can't change the result; so a group of near copies
@@ -40,6 +41,8 @@ FREQUENT = 1 << 19
 OFTEN = 4
 #: Members of a bucket held against each other in one go; larger buckets are dealt in blocks.
 BLOCK = 2048
+#: Further pivots that the members of unfinished buckets are held against before the trees are searched.
+ROUNDS = 2
 
 _lower = np.arange(256, dtype=np.uint8)
 _lower[65:91] += 32
@@ -249,6 +252,19 @@ def bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return sized.select("a", "b", "na", "ca", "nb", "cb").mapInArrow(bound, "a long, b long")
 
 
+def placed(members: DataFrame, found: DataFrame) -> DataFrame:
+    """The members with their components so far."""
+    own = members.join(found.select(F.col("node").alias("id"), "component"), "id", "left")
+    return own.select("key", "id", "n", F.coalesce("component", "id").alias("component"))
+
+
+def pivoted(members: DataFrame, salt: int) -> DataFrame:
+    """a, b: each bucket's members against its first in another order, where the components differ and the sizes allow a link."""
+    first = members.groupBy("key").agg(F.min(F.struct(F.xxhash64(F.lit(salt), "id").alias("h"), "id", "n", "component")).alias("p"))
+    pairs = members.join(first, "key").where("component <> p.component and 4 * n >= 3 * p.n and 4 * p.n >= 3 * n")
+    return pairs.select(F.greatest("id", "p.id").alias("a"), F.least("id", "p.id").alias("b")).distinct()
+
+
 def searched(members: DataFrame) -> DataFrame:
     """a, b of different components that the R-trees of the buckets allow; members: key, id, n, coarse, component."""
     sizes = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.countDistinct("component").alias("apart")).where("apart > 1")
@@ -316,9 +332,14 @@ def linked(docs: DataFrame) -> DataFrame:
     keys = stars.join(near, ["d", "n", "pd", "pn"], "left_anti").select("key").distinct()
     more = stars.join(keys, "key", "left_semi").select("key", "d", "n").distinct()
     full = more.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
-    more = more.join(full, "key", "left_semi").join(nodes.select("d", "n", "id", "coarse"), ["d", "n"]).join(found.select(F.col("node").alias("id"), "component"), "id", "left")
-    members = written(more.select("key", "id", "n", "coarse", F.coalesce("component", "id").alias("component")), "members")
-    further = searched(members).join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    more = written(more.join(full, "key", "left_semi").join(nodes.select("d", "n", "id"), ["d", "n"]).select("key", "id", "n"), "members")
+    tested = tried.select("a", "b")
+    for salt in range(ROUNDS):
+        pairs = written(pivoted(placed(more, found), salt).join(tested, ["a", "b"], "left_anti"), "tried")
+        links = links.union(verified(bounded(pairs, nodes), docs))
+        tested, found = tested.union(pairs), components(links)
+    members = written(placed(more, found).join(nodes.select("id", "coarse"), "id"), "members")
+    further = searched(members).join(tested, ["a", "b"], "left_anti")
     links2 = verified(bounded(further, nodes), docs)
     found = components(links.union(links2)) if links2.limit(1).count() else found
     whole = ids.join(found.select(F.col("node").alias("id"), "component"), "id", "left").select("d", "n", F.coalesce("component", "id").alias("component"))
