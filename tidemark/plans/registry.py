@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from functools import partial
 
-from tidemark.plans import market, roles
+from tidemark.plans import cleaning, market, roles, strategy, technical
+
+SQL = market.SQL | technical.SQL | strategy.SQL | cleaning.SQL
 
 
 def _run(spark, sf_dir, sql):
     return roles.run(spark, sf_dir, sql)
 
 
-QUERIES = {name: partial(_run, sql=sql) for name, sql in market.SQL.items()}
-ORACLE: dict[str, str] = {name: roles.duck(sql) for name, sql in market.SQL.items()}
+QUERIES = {name: partial(_run, sql=sql) for name, sql in SQL.items()}
+ORACLE: dict[str, str] = {name: roles.duck(sql) for name, sql in SQL.items()}

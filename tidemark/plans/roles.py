@@ -61,11 +61,14 @@ def whole(sql: str) -> str:
 def duck(sql: str) -> str:
     text = whole(sql).replace(") IGNORE NULLS OVER", " IGNORE NULLS) OVER")
     text = re.sub(r"DAYS\(([^;]*);([^)]*)\)", r"date_diff('day', \2, \1)", text)
+    text = re.sub(r"REALL\(([^;]*);('[^']*');('[^']*')\)", r"regexp_replace(\1, \2, \3, 'g')", text)
+    text = re.sub(r"explode\(sequence\((\d+), (\d+)\)\)", r"unnest(generate_series(\1, \2))", text)
     return re.sub(r"BACK\(([^;]*);([^)]*)\)", r"CAST(\1 - INTERVAL (\2) DAY AS DATE)", text)
 
 
 def spark_text(sql: str) -> str:
     text = re.sub(r"DAYS\(([^;]*);([^)]*)\)", r"datediff(\1, \2)", whole(sql))
+    text = re.sub(r"REALL\(([^;]*);('[^']*');('[^']*')\)", r"regexp_replace(\1, \2, \3)", text)
     return re.sub(r"BACK\(([^;]*);([^)]*)\)", r"date_sub(\1, CAST(\2 AS INT))", text)
 
 
