@@ -223,6 +223,17 @@ def test_chroma(spark, docs, empty):
     assert chroma.matched(empty, "doc_id", "text").count() == 0 and chroma.matched(docs, "doc_id", "text").count() == docs.count()
 
 
+def test_chroma_short_media(spark):
+    rng = np.random.default_rng(6)
+    a, b = (rng.integers(0, 256, n).astype(np.uint8) for n in (1500, 2303))
+    near = np.concatenate([b[:-1], b[:1]])
+    rows = [(50, a), (51, a), (52, b), (100, b), (53, near), (54, a[:1]), (55, a[:0])]
+    got = {r.id: r for r in chroma.matched(spark.createDataFrame([(k, bytearray(x.tobytes())) for k, x in rows], "id long, media binary"), "id", "media").collect()}
+    assert got[51].class_id == 50 and got[52].class_id == got[100].class_id == 52 and got[54].class_id == 54 and got[55].class_id == 55
+    assert got[52].is_query and got[52].n_aligned == 1 and got[52].best_class == 53 and got[50].n_aligned == 0
+    assert [got[k].n_integers for k in (50, 52, 54, 55)] == [6, 9, 1, 0] and all(got[k].n_windows == 0 for k, _ in rows)
+
+
 def test_licences(spark, docs, empty):
     own = docs.select("doc_id", "text")
     model = licences.LicenceModel.fit(own)

@@ -11,8 +11,11 @@ query's windows have equal integers (the peak of the offset histogram); the bit
 over the whole overlap at that offset is reported. A query's rarest half of integers
 must contain one of those windows, so only these are joined; no candidate is lost.
 
-Null or empty media and media shorter than a window give no integers: such rows are
-alone in their class. Repeated rows are of one class. Other columns are not read.
+A window needs WHOLE bytes. Shorter media are padded with silence, one window for each
+hop that holds samples, so they have a class and alignments too; n_windows counts whole
+windows (0 for them) and n_integers all integers. Null or empty media give no integers:
+such rows are alone in their class. Repeated rows are of one class. Other columns are
+not read.
 """
 
 from __future__ import annotations
@@ -28,6 +31,8 @@ from tidemark.llm.common import QUERIES, slices, table, written
 
 RATE, FRAME, HOP, SPAN = 8000, 512, 256, 8
 EVERY = 50
+#: Samples of a whole window.
+WHOLE = FRAME + (SPAN - 1) * HOP
 #: Filters (kind, first pitch class, classes, first frame, frames): fixed values of this operator.
 FILTERS = [(k, (5 * i) % 12, 1 + i % 4, i % 3, 3 + i % 6) for i, k in enumerate((0, 1, 2, 3) * 4)]
 LIMITS = (-0.12, 0.0, 0.12)
@@ -49,7 +54,9 @@ def chroma(samples: np.ndarray) -> np.ndarray:
 
 
 def fingerprint(samples: np.ndarray) -> np.ndarray:
-    """One integer for each window of SPAN frames."""
+    """One integer for each window of SPAN frames; of short media for each hop that holds samples."""
+    if 0 < len(samples) < WHOLE:
+        samples = np.pad(samples, (0, WHOLE + (len(samples) - 1) // HOP * HOP - len(samples)), constant_values=128)
     c = chroma(samples)
     n = len(c) - SPAN + 1
     if n < 1:
@@ -81,15 +88,16 @@ def fingerprint(samples: np.ndarray) -> np.ndarray:
 
 
 def fingerprinted(media: DataFrame, id_column: str, column: str) -> DataFrame:
-    """id, n_windows, fingerprint (array of integers), crc."""
+    """id, n_windows (whole ones), n_integers, fingerprint (array of integers), crc."""
 
     def compute(batches):
         for batch in batches:
             for part in slices(batch, 1):
-                got = [fingerprint(np.frombuffer(x or b"", np.uint8)) for x in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) for x in got], pa.int64()), pa.array([x.astype(np.int64) for x in got], pa.list_(pa.int64())), pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in got], pa.int64())], ["id", "n_windows", "fingerprint", "crc"])
+                media = [np.frombuffer(x or b"", np.uint8) for x in part.column(1).to_pylist()]
+                got = [fingerprint(x) for x in media]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(g) if len(x) >= WHOLE else 0 for x, g in zip(media, got, strict=True)], pa.int64()), pa.array([len(x) for x in got], pa.int64()), pa.array([x.astype(np.int64) for x in got], pa.list_(pa.int64())), pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in got], pa.int64())], ["id", "n_windows", "n_integers", "fingerprint", "crc"])
 
-    return media.select(F.col(id_column).cast("long"), F.col(column).cast("binary")).mapInArrow(compute, "id long, n_windows long, fingerprint array<long>, crc long")
+    return media.select(F.col(id_column).cast("long"), F.col(column).cast("binary")).mapInArrow(compute, "id long, n_windows long, n_integers long, fingerprint array<long>, crc long")
 
 
 def aligned(prints: DataFrame) -> DataFrame:
@@ -122,17 +130,17 @@ def aligned(prints: DataFrame) -> DataFrame:
 
 
 def matched(media: DataFrame, id_column: str, column: str, every: int = EVERY) -> DataFrame:
-    """One row per recording: class, windows, crc; for queries' classes the number of aligned classes and the best of them."""
+    """One row per recording: class, windows, integers, crc; for queries' classes the number of aligned classes and the best of them."""
     rows = written(fingerprinted(media, id_column, column), "fingerprints")
-    key = F.when((F.col("n_windows") > 0) & F.col("id").isNotNull(), F.sha2(F.to_json(F.struct("fingerprint")), 256))
+    key = F.when((F.col("n_integers") > 0) & F.col("id").isNotNull(), F.sha2(F.to_json(F.struct("fingerprint")), 256))
     rows = rows.withColumn("key", key)
-    classes = rows.where("key is not null").groupBy("key").agg(F.min("id").alias("class_id"), F.max(F.col("id") % every == 0).alias("is_query"), F.first("n_windows").alias("n_windows"), F.first("fingerprint").alias("fingerprint"))
+    classes = rows.where("key is not null").groupBy("key").agg(F.min("id").alias("class_id"), F.max(F.col("id") % every == 0).alias("is_query"), F.first("n_integers").alias("n_windows"), F.first("fingerprint").alias("fingerprint"))
     classes = written(classes, "classes")
     best = F.min_by(F.struct("other", "offset", "bit_error"), F.struct("bit_error", -F.col("matches"), "other")).alias("best")
     found = aligned(classes).groupBy(F.col("query").alias("class_id")).agg(F.count("*").alias("n_aligned"), best)
     whole = classes.select("key", "class_id", "is_query").join(found, "class_id", "left")
     out = rows.join(whole, "key", "left")
-    return out.select("id", F.coalesce("class_id", "id").alias("class_id"), "n_windows", F.col("crc").alias("fingerprint_crc"), F.coalesce("is_query", F.lit(False)).alias("is_query"), F.coalesce("n_aligned", F.lit(0)).cast("long").alias("n_aligned"), F.col("best.other").alias("best_class"), F.col("best.offset").alias("best_offset"), F.col("best.bit_error").alias("bit_error"))
+    return out.select("id", F.coalesce("class_id", "id").alias("class_id"), "n_windows", "n_integers", F.col("crc").alias("fingerprint_crc"), F.coalesce("is_query", F.lit(False)).alias("is_query"), F.coalesce("n_aligned", F.lit(0)).cast("long").alias("n_aligned"), F.col("best.other").alias("best_class"), F.col("best.offset").alias("best_offset"), F.col("best.bit_error").alias("bit_error"))
 
 
 def op1_chroma_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
