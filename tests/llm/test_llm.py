@@ -158,6 +158,17 @@ def test_jaccard(spark, docs, empty):
     assert jaccard.one_of_each(docs).columns == docs.columns
 
 
+def test_jaccard_hot(spark):
+    """Variants that link with one text T but not with each other, in buckets dealt in parts."""
+    rng, rows = random.Random(8), []
+    for _ in range(30):
+        base = [f"w{rng.randint(0, 10**6)}" for _ in range(44)]
+        rows += [(len(rows) + k, " ".join(base)) for k in range(4)]
+        rows += [(len(rows) + k, " ".join(base + [f"v{rng.randint(0, 10**6)}" for _ in range(12)])) for k in range(3)]
+    got = {r.doc_id: r.component_id for r in jaccard.linked(spark.createDataFrame(rows, "doc_id long, text string"), hot=2).collect()}
+    assert got == {k: k - k % 7 for k, _ in rows}
+
+
 def test_tree_loses_nothing():
     rng = np.random.default_rng(1)
     p = rng.integers(0, 6, (3000, 16))

@@ -308,8 +308,8 @@ def searched(members: DataFrame) -> DataFrame:
     return dealt.mapInArrow(search, "a long, b long").distinct()
 
 
-def linked(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id: one row per row."""
+def linked(docs: DataFrame, hot: int = 20_000) -> DataFrame:
+    """doc_id, n_shingles, component_id: one row per row; keys seen hot times or more are dealt in parts, which changes no result."""
     both = written(scanned(docs), "scan")
     rows = both.where("kind = 0").select("doc_id", "d", "n", "counts", "coarse")
     often = both.where("kind = 1").groupBy(F.col("d").alias("key")).agg(F.sum("n").alias("times"))
@@ -317,7 +317,7 @@ def linked(docs: DataFrame) -> DataFrame:
     nodes = written(rows.where("n > 0 and doc_id is not null").groupBy("d", "n").agg(F.min("doc_id").alias("id"), F.first("counts").alias("counts"), F.first("coarse").alias("coarse")), "nodes")
     ids = nodes.select("d", "n", "id")
     in_order = Window.partitionBy("key", "part").orderBy("d", "n").rowsBetween(Window.unboundedPreceding, 0)
-    stars = postings(docs.where("doc_id is not null"), frequent).withColumn("pivot", F.first(F.struct("d", "n")).over(in_order))
+    stars = postings(docs.where("doc_id is not null"), frequent, hot).withColumn("pivot", F.first(F.struct("d", "n")).over(in_order))
     stars = written(stars.where("d <> pivot.d or n <> pivot.n or part > 0"), "stars")
     # Keys dealt in parts: the parts' first members are held against the first of all.
     tops = stars.where("part > 0").groupBy("key").agg(F.min("pivot").alias("top"))
@@ -330,7 +330,8 @@ def linked(docs: DataFrame) -> DataFrame:
     # Buckets with a member that is not linked to the first, and more than that pair.
     near = tried.join(links, ["a", "b"], "left_semi").select("d", "n", "pd", "pn")
     keys = stars.join(near, ["d", "n", "pd", "pn"], "left_anti").select("key").distinct()
-    more = stars.join(keys, "key", "left_semi").select("key", "d", "n").distinct()
+    # The first of all parts has met its own part and the pivots only, so it is a member like the others.
+    more = stars.select("key", "d", "n").union(tops.select("key", "top.d", "top.n")).join(keys, "key", "left_semi").distinct()
     full = more.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
     more = written(more.join(full, "key", "left_semi").join(nodes.select("d", "n", "id"), ["d", "n"]).select("key", "id", "n"), "members")
     tested = tried.select("a", "b")
