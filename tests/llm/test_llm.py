@@ -245,6 +245,17 @@ def test_chroma_short_media(spark):
     assert [got[k].n_integers for k in (50, 52, 54, 55)] == [6, 9, 1, 0] and all(got[k].n_windows == 0 for k, _ in rows)
 
 
+def test_chroma_bit_errors(spark):
+    """Noise, a shift by 101 samples, a short recording within a long query."""
+    rng = np.random.default_rng(7)
+    a, b, c, d = (rng.integers(0, 256, 9000).astype(np.uint8) for _ in range(4))
+    noisy = np.clip(a + rng.normal(0, 2, len(a)), 0, 255).astype(np.uint8)
+    rows = [(50, a), (51, noisy), (100, b), (101, np.concatenate([b[:101], b])), (150, c), (151, c[2603:5603]), (200, d)]
+    got = {r.id: r for r in chroma.matched(spark.createDataFrame([(k, bytearray(x.tobytes())) for k, x in rows], "id long, media binary"), "id", "media").collect()}
+    assert [(got[k].n_aligned, got[k].best_class) for k in (50, 100, 150, 200)] == [(1, 51), (1, 101), (1, 151), (0, None)]
+    assert got[150].best_offset == -10 and all(got[k].bit_error < chroma.LIMIT for k in (50, 100, 150))
+
+
 def test_licences(spark, docs, empty):
     own = docs.select("doc_id", "text")
     model = licences.LicenceModel.fit(own)

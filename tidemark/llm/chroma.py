@@ -6,12 +6,15 @@ any rectangle's sum in four reads. Sixteen filters compare rectangles and each a
 with two bits, which make one 32-bit integer for each window of frames.
 
 Recordings with the same integers form a class. Queries are classes that hold an id
-divisible by EVERY. A query and a class align if at one offset at least half of the
-query's windows have equal integers (the peak of the offset histogram); the bit error
-over the whole overlap at that offset is reported. A query's rarest half of integers
-must contain one of those windows, so only these are joined; no candidate is lost.
-
-A window needs WHOLE bytes. Shorter media are padded with silence, one window for each
+divisible by EVERY. A query and a class align if at one offset a run of windows, half as
+many as the shorter of both has (LEAST at least, or all of a shorter one), differs in
+less than LIMIT of its bits; the least bit error of such a run is reported. Queries are
+also fingerprinted from every STEP-th sample of the first hop on, as shifts need not be
+multiples of a hop. With a mean below 1.5 bits an integer, more than a quarter of such a
+run's windows differ in one bit at most: so the candidates are the offsets at which that
+many integers meet a query's integers or these with one bit turned, and none is lost.
+
+A window needs WHOLE bytes. Shorter media are repeated up to it, one window for each
 hop that holds samples, so they have a class and alignments too; n_windows counts whole
 windows (0 for them) and n_integers all integers. Null or empty media give no integers:
 such rows are alone in their class. Repeated rows are of one class. Other columns are
@@ -24,7 +27,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import QUERIES, slices, table, written
@@ -36,6 +39,8 @@ WHOLE = FRAME + (SPAN - 1) * HOP
 #: Filters (kind, first pitch class, classes, first frame, frames): fixed values of this operator.
 FILTERS = [(k, (5 * i) % 12, 1 + i % 4, i % 3, 3 + i % 6) for i, k in enumerate((0, 1, 2, 3) * 4)]
 LIMITS = (-0.12, 0.0, 0.12)
+#: Bit error of an alignment (the candidates' count of hits follows from it), windows it needs, samples between a query's starts.
+LIMIT, LEAST, STEP = 1.5 / 32, 4, 32
 _bins = np.arange(1, FRAME // 2)
 _class = np.round(12 * np.log2(_bins * RATE / FRAME / 440)).astype(int) % 12
 _fold = np.zeros((FRAME // 2 - 1, 12), np.float32)
@@ -56,7 +61,7 @@ def chroma(samples: np.ndarray) -> np.ndarray:
 def fingerprint(samples: np.ndarray) -> np.ndarray:
     """One integer for each window of SPAN frames; of short media for each hop that holds samples."""
     if 0 < len(samples) < WHOLE:
-        samples = np.pad(samples, (0, WHOLE + (len(samples) - 1) // HOP * HOP - len(samples)), constant_values=128)
+        samples = np.pad(samples, (0, WHOLE + (len(samples) - 1) // HOP * HOP - len(samples)), mode="wrap")
     c = chroma(samples)
     n = len(c) - SPAN + 1
     if n < 1:
@@ -87,54 +92,71 @@ def fingerprint(samples: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprinted(media: DataFrame, id_column: str, column: str) -> DataFrame:
-    """id, n_windows (whole ones), n_integers, fingerprint (array of integers), crc."""
+def fingerprinted(media: DataFrame, id_column: str, column: str, every: int = EVERY) -> DataFrame:
+    """id, n_windows (whole ones), n_integers, fingerprint (array of integers), crc, shifted (of queries: fingerprints from each start)."""
 
     def compute(batches):
         for batch in batches:
             for part in slices(batch, 1):
+                ids = part.column(0).to_pylist()
                 media = [np.frombuffer(x or b"", np.uint8) for x in part.column(1).to_pylist()]
                 got = [fingerprint(x) for x in media]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(g) if len(x) >= WHOLE else 0 for x, g in zip(media, got, strict=True)], pa.int64()), pa.array([len(x) for x in got], pa.int64()), pa.array([x.astype(np.int64) for x in got], pa.list_(pa.int64())), pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in got], pa.int64())], ["id", "n_windows", "n_integers", "fingerprint", "crc"])
+                shifted = [None if i is None or i % every or not len(x) else [fingerprint(x[k:]).astype(np.int64) for k in range(0, min(HOP, len(x)), STEP)] for i, x in zip(ids, media, strict=True)]
+                whole = [len(g) if len(x) >= WHOLE else 0 for x, g in zip(media, got, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(whole, pa.int64()), pa.array([len(x) for x in got], pa.int64()), pa.array([x.astype(np.int64) for x in got], pa.list_(pa.int64())), pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in got], pa.int64()), pa.array(shifted, pa.list_(pa.list_(pa.int64())))], ["id", "n_windows", "n_integers", "fingerprint", "crc", "shifted"])
+
+    return media.select(F.col(id_column).cast("long"), F.col(column).cast("binary")).mapInArrow(compute, "id long, n_windows long, n_integers long, fingerprint array<long>, crc long, shifted array<array<long>>")
+
 
-    return media.select(F.col(id_column).cast("long"), F.col(column).cast("binary")).mapInArrow(compute, "id long, n_windows long, n_integers long, fingerprint array<long>, crc long")
+def alignment(a: np.ndarray, b: np.ndarray, offset: int) -> tuple[int, float] | None:
+    """Equal integers of the overlap and the least bit error of a run, if a and b align at the offset."""
+    start, end = max(0, -offset), min(len(a), len(b) - offset)
+    short = min(len(a), len(b))
+    run = max(min(LEAST, short), -(-short // 2))
+    if end - start < run:
+        return None
+    bits = np.bitwise_count(a[start:end] ^ b[start + offset : end + offset]).astype(np.int64)
+    total = np.concatenate([[0], bits.cumsum()])
+    error = float((total[run:] - total[:-run]).min()) / (32 * run)
+    return (int((bits == 0).sum()), error) if error < LIMIT else None
 
 
 def aligned(prints: DataFrame) -> DataFrame:
-    """query, other, offset, matches, bit_error for classes (class_id, is_query, n_windows, fingerprint)."""
-    posts = prints.select("class_id", "is_query", "n_windows", F.posexplode("fingerprint").alias("pos", "value"))
-    times = posts.groupBy("value").agg(F.countDistinct("class_id").alias("times"))
-    asked = posts.where("is_query").join(times, "value")
-    rank = F.row_number().over(Window.partitionBy("class_id").orderBy("times", "value", "pos"))
-    rare = asked.withColumn("rank", rank).where("rank <= n_windows - ceil(n_windows / 2) + 1 and times > 1").select(F.col("class_id").alias("query"), F.col("pos").alias("at"), "value")
-    pairs = rare.join(posts.select(F.col("class_id").alias("other"), "pos", "value"), "value").where("query <> other").select("query", "other", (F.col("pos") - F.col("at")).cast("long").alias("offset")).distinct()
-    own = prints.select(F.col("class_id").alias("query"), F.col("fingerprint").alias("a"))
+    """query, other, offset, matches, bit_error for classes (class_id, fingerprint, shifted: null but for queries)."""
+    posts = prints.select("class_id", F.size("fingerprint").alias("nb"), F.posexplode("fingerprint").alias("pos", "value"))
+    asked = prints.where("shifted is not null").select(F.col("class_id").alias("query"), F.posexplode("shifted").alias("start", "a"))
+    points = asked.select("query", "start", F.size("a").alias("na"), F.posexplode("a").alias("at", "point"))
+    turned = F.array(F.lit(0).cast("long"), *(F.lit(1 << k).cast("long") for k in range(32)))
+    probes = points.select("point").distinct().select("point", F.explode(F.transform(turned, lambda bit: F.col("point").bitwiseXOR(bit))).alias("value"))
+    near = written(probes.join(posts.select("value").distinct(), "value"), "near")
+    hits = points.join(near, "point").join(posts.select(F.col("class_id").alias("other"), "nb", "pos", "value"), "value").where("query <> other")
+    short = F.least("na", "nb")
+    peaks = hits.groupBy("query", "start", "other", "na", "nb", (F.col("pos") - F.col("at")).cast("long").alias("offset")).count().where(4 * F.col("count") > F.greatest(F.least(F.lit(LEAST), short), F.ceil(short / 2)))
+    pairs = peaks.groupBy("query", "start", "other").agg(F.collect_list("offset").alias("offsets"))
     rest = prints.select(F.col("class_id").alias("other"), F.col("fingerprint").alias("b"))
 
     def hold(batches):
         for batch in batches:
             out = ([], [], [], [], [])
-            for q, o, off, a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for q, o, offsets, a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 a, b = np.array(a, np.uint32), np.array(b, np.uint32)
-                start, end = max(0, -off), min(len(a), len(b) - off)
-                x, y = a[start:end], b[start + off : end + off]
-                same = int((x == y).sum())
-                if 2 * same >= len(a):
-                    for c, v in zip(out, (q, o, off, same, float(np.bitwise_count(x ^ y).sum()) / (32 * len(x))), strict=True):
-                        c.append(v)
+                for off in offsets:
+                    if got := alignment(a, b, off):
+                        for c, v in zip(out, (q, o, off, *got), strict=True):
+                            c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query", "other", "offset", "matches", "bit_error"])
 
-    found = pairs.join(own, "query").join(rest, "other").select("query", "other", "offset", "a", "b").mapInArrow(hold, "query long, other long, offset long, matches long, bit_error double")
+    found = pairs.join(asked, ["query", "start"]).join(rest, "other").select("query", "other", "offsets", "a", "b").mapInArrow(hold, "query long, other long, offset long, matches long, bit_error double")
     peak = F.max_by(F.struct("offset", "matches", "bit_error"), F.struct("matches", -F.col("bit_error"), -F.abs("offset"), -F.col("offset"))).alias("peak")
     return found.groupBy("query", "other").agg(peak).select("query", "other", "peak.*")
 
 
 def matched(media: DataFrame, id_column: str, column: str, every: int = EVERY) -> DataFrame:
     """One row per recording: class, windows, integers, crc; for queries' classes the number of aligned classes and the best of them."""
-    rows = written(fingerprinted(media, id_column, column), "fingerprints")
+    rows = written(fingerprinted(media, id_column, column, every), "fingerprints")
     key = F.when((F.col("n_integers") > 0) & F.col("id").isNotNull(), F.sha2(F.to_json(F.struct("fingerprint")), 256))
     rows = rows.withColumn("key", key)
-    classes = rows.where("key is not null").groupBy("key").agg(F.min("id").alias("class_id"), F.max(F.col("id") % every == 0).alias("is_query"), F.first("n_integers").alias("n_windows"), F.first("fingerprint").alias("fingerprint"))
+    classes = rows.where("key is not null").groupBy("key").agg(F.min("id").alias("class_id"), F.max(F.col("id") % every == 0).alias("is_query"), F.first("fingerprint").alias("fingerprint"), F.min_by("shifted", F.when(F.col("shifted").isNotNull(), F.col("id"))).alias("shifted"))
     classes = written(classes, "classes")
     best = F.min_by(F.struct("other", "offset", "bit_error"), F.struct("bit_error", -F.col("matches"), "other")).alias("best")
     found = aligned(classes).groupBy(F.col("query").alias("class_id")).agg(F.count("*").alias("n_aligned"), best)
