@@ -262,3 +262,13 @@ def test_licences(spark, docs, empty):
     got = {r.doc_id: r for r in licences.scanned(own, model).collect()}
     assert got[12].families == "MIT" and sum(r.n_licences for r in got.values()) == 1 and got[0].n_paragraphs == 0
     assert licences.scanned(empty.select("doc_id", "text"), model).count() == 0
+
+
+def test_licences_hot_and_wrapped(spark):
+    """Notices on the first line of many texts, and notices wrapped over lines."""
+    rng = random.Random(9)
+    prose = lambda: " ".join(f"w{rng.randint(0, 300)}" for _ in range(12))
+    rows = [(k, ("SPDX-License-Identifier: MIT\n" if k % 3 == 0 else "") + f"{prose()}\n{prose()}") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_licences, r.families) for r in licences.scanned(docs, licences.LicenceModel.fit(docs)).collect()}
+    assert got == {k: (1, "MIT") if k % 3 == 0 else (0, "") for k in range(300)}

@@ -2,21 +2,22 @@
 
 Paragraphs are lines. Their word bigrams and trigrams feed a multinomial logistic
 regression with a lasso penalty, trained on short notices of each family (fixed values
-below) against unknown: a bounded sample of the corpus's own paragraphs (SAMPLE, by
-hash). The probability that a family needs is calibrated on a second such sample: no
+below) against unknown: a bounded sample of the corpus's own paragraphs (SAMPLE rows and
+one line of each, by hash; distinct, and none that holds half of a notice). The probability that a family needs is calibrated on a second such sample: no
 paragraph of it may pass unless it holds a notice. A prediction counts once a template
 of its family confirms it: at least CONFIRM of the template's bigrams stand in the
 paragraph.
 
-The weights kept are few and bounded (families times notices); a paragraph without one
-of the words they contain has no feature and is unknown, so only paragraphs with such a
-word are split into n-grams. Everything runs on built-in functions and pyspark.ml.
+As CONFIRM of a notice can't be had without some of its words, only texts and lines near
+such a word are split into n-grams, and only those with a notice are predicted. Everything runs on built-in functions and pyspark.ml.
 
 Null and empty texts have no licence. One row per row; other columns are not read.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,6 +64,18 @@ def bigrams(column):
     return once(clean(column), lambda w: F.array_distinct(grams(w, 2)))
 
 
+def template(notice: str) -> list[str]:
+    """The distinct bigrams of a notice."""
+    w = [x for x in (x.strip(".+-") for x in re.split("[^a-z0-9.+-]+", notice.lower())) if x]
+    return sorted({f"{a} {b}" for a, b in zip(w, w[1:])})
+
+
+def shares(column):
+    """The share of each notice's bigrams that the text has."""
+    needs = [template(t) for texts in NOTICES.values() for t in texts]
+    return once(bigrams(column), lambda has: F.array(*(F.size(F.array_intersect(has, F.array(*map(F.lit, n)))) / len(n) for n in needs)))
+
+
 def featured(rows: DataFrame) -> DataFrame:
     """Adds features: the distinct bigrams and trigrams of paragraph."""
     return rows.withColumn("features", once(clean(F.col("paragraph")), lambda w: F.array_distinct(F.concat(grams(w, 2), grams(w, 3)))))
@@ -81,18 +94,22 @@ class LicenceModel:
     @classmethod
     def fit(cls, docs: DataFrame, size: int = SAMPLE) -> LicenceModel:
         from pyspark.ml.classification import LogisticRegression
-        from pyspark.ml.feature import CountVectorizer
+        from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 
         spark = docs.sparkSession
         notices = spark.createDataFrame([(family, text) for family, texts in NOTICES.items() for text in texts for _ in range(20)], "family string, paragraph string")
         sampled = docs.select(F.xxhash64(F.lit(11), F.col("doc_id")).alias("h"), "text")
         top = sampled.select("h").orderBy("h").limit(2 * size).agg(F.max("h")).first()[0]
-        own = sampled.where(F.col("h") <= F.lit(top if top is not None else 0)).select("h", F.element_at(F.split(F.coalesce("text", F.lit("")), "\n"), 1).alias("paragraph"), F.coalesce("text", F.lit("")).alias("text"))
-        own = written(own.select((F.pmod("h", F.lit(2)) == 0).alias("second"), "paragraph"), "sample")
+        lines = F.split(F.coalesce("text", F.lit("")), "\n")
+        own = sampled.where(F.col("h") <= F.lit(top if top is not None else 0)).select("h", once(lines, lambda x: F.element_at(x, (F.pmod(F.xxhash64(F.lit(13), F.col("h")), F.size(x)) + 1).cast("int"))).alias("paragraph"))
+        own = own.groupBy("paragraph").agg(F.min("h").alias("h"))
+        own = written(own.select((F.pmod("h", F.lit(2)) == 0).alias("second"), "paragraph", (F.array_max(shares(F.col("paragraph"))) >= 0.5).alias("holds")), "sample")
         families = [UNKNOWN, *sorted(NOTICES)]
         label = F.array_position(F.array(*map(F.lit, families)), F.col("family")).cast("double") - 1
-        training = featured(notices.union(own.where("not second").select(F.lit(UNKNOWN), "paragraph"))).withColumn("label", label)
+        training = featured(notices.union(own.where("not second and not holds").select(F.lit(UNKNOWN), "paragraph"))).withColumn("label", label)
         vectors = CountVectorizer(inputCol="features", outputCol="vector", binary=True, minDF=5, vocabSize=4096).fit(training)
+        always = {g for r in featured(notices.distinct()).select("features").collect() for g in r.features}
+        vectors = CountVectorizerModel.from_vocabulary(sorted(always | set(vectors.vocabulary)), inputCol="features", outputCol="vector", binary=True)
         fitted = LogisticRegression(featuresCol="vector", family="multinomial", elasticNetParam=1.0, regParam=2e-4, maxIter=60).fit(vectors.transform(training))
         matrix, shift = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
         shift = [float(shift[k]) if k < len(shift) else -10.0 for k in range(len(families))]
