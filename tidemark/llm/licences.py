@@ -1,6 +1,7 @@
 """Operator 3: licence scans by a trained paragraph classifier.
 
-Paragraphs are lines. Their word bigrams and trigrams feed a multinomial logistic
+Paragraphs are lines; a notice that is wrapped counts where it starts, with the words
+that follow up to a blank line (REACH at most). Their word bigrams and trigrams feed a multinomial logistic
 regression with a lasso penalty, trained on short notices of each family (fixed values
 below) against unknown: a bounded sample of the corpus's own paragraphs (SAMPLE rows and
 one line of each, by hash; distinct, and none that holds half of a notice). The probability that a family needs is calibrated on a second such sample: no
@@ -16,6 +17,7 @@ Null and empty texts have no licence. One row per row; other columns are not rea
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +38,10 @@ NOTICES = {
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "SPDX-License-Identifier: MPL-2.0"],
 }
 UNKNOWN = "unknown"
+#: Tokens that follow the line where a notice starts: its words, and as many comment marks.
+REACH = 2 * max(len(t.split()) for texts in NOTICES.values() for t in texts)
+#: Each line with what follows it, up to a blank line.
+AHEAD = r"(?dm)^(?=([^\n]*(?:(?![ \t\r]*\n[ \t\r]*\n)\s+\S+){0,%d}))" % REACH
 # Function words; n-grams of these alone are no features.
 STOP = "a an and any are as by for form from in is it of on or that the this to under use with without".split()
 
@@ -70,21 +76,54 @@ def template(notice: str) -> list[str]:
     return sorted({f"{a} {b}" for a, b in zip(w, w[1:])})
 
 
+def telling() -> list[str]:
+    """Words of which any text that confirms a notice contains one."""
+    found: list[str] = []
+    for needs in sorted(template(t) for texts in NOTICES.values() for t in texts):
+        spare = len(needs) - math.ceil(CONFIRM * len(needs) - 1e-9)  # bigrams that may be missing
+        left = [n for n in needs if not any(f in w for f in found for w in n.split())]
+        while len(needs) - len(left) <= spare:
+            parts = [w for n in left for w in n.split() if w not in STOP]
+            best = max(parts, key=lambda w: (sum(w in n.split() for n in left), len(w), w))
+            found.append(best)
+            left = [n for n in left if not any(best in w for w in n.split())]
+    return found
+
+
+def mentions(column):
+    """Whether the text may confirm a notice."""
+    low = F.lower(column)
+    found = F.lit(False)
+    for w in telling():
+        found = found | low.contains(w)
+    return found
+
+
 def shares(column):
     """The share of each notice's bigrams that the text has."""
     needs = [template(t) for texts in NOTICES.values() for t in texts]
     return once(bigrams(column), lambda has: F.array(*(F.size(F.array_intersect(has, F.array(*map(F.lit, n)))) / len(n) for n in needs)))
 
 
+def starts(docs: DataFrame) -> DataFrame:
+    """doc_id, paragraph_no, paragraph: the lines where a notice starts; the line if it holds the notice, else what follows too."""
+    windows = F.transform(F.regexp_extract_all("text", F.lit(AHEAD), 1), lambda w, i: F.struct(i.alias("paragraph_no"), w.alias("ahead")))
+    near = docs.where(mentions(F.col("text"))).select("doc_id", F.explode(F.filter(windows, lambda w: mentions(w["ahead"]))).alias("w")).select("doc_id", "w.*")
+    held = near.where(F.array_max(shares(F.col("ahead"))) >= CONFIRM)
+    line = F.substring_index("ahead", "\n", 1)
+    rest = F.expr("substring(ahead, length(substring_index(ahead, '\\n', 1)) + 2)")
+    three = F.arrays_zip(shares(F.col("ahead")).alias("all"), shares(line).alias("line"), shares(rest).alias("rest"))
+    found = held.withColumn("three", three)
+    alone = F.exists("three", lambda x: x["line"] >= CONFIRM)
+    wrapped = F.exists("three", lambda x: (x["all"] >= CONFIRM) & (x["rest"] < CONFIRM))
+    return found.where(alone | wrapped).select("doc_id", "paragraph_no", F.when(alone, line).otherwise(F.col("ahead")).alias("paragraph"))
+
+
 def featured(rows: DataFrame) -> DataFrame:
     """Adds features: the distinct bigrams and trigrams of paragraph."""
     return rows.withColumn("features", once(clean(F.col("paragraph")), lambda w: F.array_distinct(F.concat(grams(w, 2), grams(w, 3)))))
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.posexplode(F.split(F.col("text"), "\n")).alias("paragraph_no", "paragraph"))
-
-
 class LicenceModel:
     """weights: rows (feature, family, weight); intercepts and the calibrated probability."""
 
@@ -156,7 +195,7 @@ class LicenceModel:
 def scanned(docs: DataFrame, model: LicenceModel) -> DataFrame:
     """doc_id, n_paragraphs, n_licences, families (sorted, joined by commas) for every row."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    hits = model.scored(paragraphs(own.where(model.mentioned(F.col("text"))))).where((F.col("family") != UNKNOWN) & (F.col("probability") >= model.least) & (F.col("coverage") >= CONFIRM))
+    hits = model.scored(written(starts(own), "starts")).where((F.col("family") != UNKNOWN) & (F.col("probability") >= model.least) & (F.col("coverage") >= CONFIRM))
     found = hits.groupBy(F.col("doc_id").alias("id_")).agg(F.count("*").alias("n_licences"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("families"), F.min("probability").alias("least_probability"))
     rows = own.select("doc_id", F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long").alias("n_paragraphs"))
     return rows.join(found, F.col("doc_id") == F.col("id_"), "left").select("doc_id", "n_paragraphs", F.coalesce("n_licences", F.lit(0)).cast("long").alias("n_licences"), F.coalesce("families", F.lit("")).alias("families"), "least_probability")
