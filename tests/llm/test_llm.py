@@ -271,7 +271,8 @@ def test_licences_hot_and_wrapped(spark):
     rows = [(k, ("SPDX-License-Identifier: MIT\n" if k % 3 == 0 else "") + f"{prose()}\n{prose()}") for k in range(300)]
     gpl = "/* This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n * the Free Software Foundation, either version 3 of the License, or\n * (at your option) any later version. */"
     bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that"
-    rows += [(300, f"{prose()}\n{gpl}\n{prose()}"), (301, f"{prose()}\n\n{bsd}\n\n{prose()}"), (302, bsd.replace("\n", "\n\n")), (303, "Released under the MIT License.\nReleased under the MIT License.")]
+    rows += [(300, f"{prose()}\n{gpl}\n{prose()}"), (301, f"{prose()}\n\n{bsd}\n\n{prose()}"), (302, bsd.replace("\n", "\n\n")), (303, "Released under the MIT License.\n\nReleased under the MIT License.")]
+    rows += [(304, "This file is not licensed under the MIT License."), (305, gpl.replace("GNU General", "GNU Lesser General")), (306, f"{prose()}\nLicensed under CC BY-NC 4.0.\n{prose()}"), (307, "This work is licensed under the GNU General Public License, version 3."), (308, 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.'), (309, "The committee met mit der MIT; a license to fish was not granted.")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: (r.n_licences, r.families) for r in licences.scanned(docs, licences.LicenceModel.fit(docs)).collect()}
-    assert got == {k: (1, "MIT") if k % 3 == 0 else (0, "") for k in range(300)} | {300: (1, "GPL-3.0"), 301: (1, "BSD-3-Clause"), 302: (0, ""), 303: (2, "MIT")}
+    assert got == {k: (1, "MIT") if k % 3 == 0 else (0, "") for k in range(300)} | {300: (1, "GPL-3.0"), 301: (1, "BSD-3-Clause"), 302: (0, ""), 303: (2, "MIT"), 304: (0, ""), 305: (1, "LGPL-3.0"), 306: (1, "CC-BY-NC-4.0"), 307: (1, "GPL-3.0"), 308: (1, "Apache-2.0"), 309: (0, "")}
