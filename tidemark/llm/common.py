@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -15,10 +16,12 @@ ORACLE: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new path below spark.checkpoint.dir; where that is unset (tests), below a temporary folder."""
+    """A new path below spark.checkpoint.dir; where that is unset (tests) and all runs on one machine, below a temporary folder."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
-        base = tempfile.mkdtemp(prefix="spark-")
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='spark-')}"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -26,7 +29,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: lineage ends here and lost executors cost nothing before it."""
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+def removed(*tables: DataFrame) -> None:
+    """Deletes written tables that nothing reads any more."""
+    for t in tables:
+        folder = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.written_path)
+        folder.getFileSystem(t.sparkSession._jsc.sc().hadoopConfiguration()).delete(folder, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,7 +92,7 @@ def appended(df: DataFrame, text: str, fields: str, compute: Callable) -> DataFr
     return df.mapInArrow(add, f"{schema}, {fields}")
 
 
-def slices(batch, at: int, most: int = 4_000_000, rows: int = 512):
+def slices(batch, at: int, most: int = 1_000_000, rows: int = 512):
     """Parts of the batch with about this many bytes of text at most, or one row."""
     sizes = np.zeros(batch.num_rows + 1, np.int64)
     import pyarrow.compute as pc

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import removed, written
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -18,7 +18,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         low = labels.join(around, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         jump = low.join(labels.select(F.col("node").alias("label"), F.col("label").alias("further")), "label", "left")
         new = written(jump.select("node", "old", F.coalesce("further", "label").alias("label")), "labels")
-        moved = new.where("label <> old").limit(1).count()
-        labels = new.select("node", "label")
-        if not moved:
-            return labels.withColumnRenamed("label", "component")
+        removed(labels)
+        labels = new
+        if not new.where("label <> old").limit(1).count():
+            removed(edges)
+            return new.select("node", F.col("label").alias("component"))
