@@ -18,55 +18,82 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_right
 from collections import defaultdict
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import QUERIES, table, written
+from tidemark.llm.common import QUERIES, slices, table, written
 
 SEQUENCE = 2048
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-#: Words kept per Python worker; beyond that the store starts anew. It bounds memory and changes no result.
-WORDS_KEPT = 700_000
-_words: dict[str, dict[str, bytes]] = {}
-_tokenizers: dict = {}
+#: Characters of words kept while a partition is read (each word counts 16 more), twice: what is new, and what was new before. It bounds memory and changes no result.
+KEPT = 4_000_000
 
 
-def _encoder(path: str):
-    from tokenizers import Tokenizer
+class WordEncoder:
+    """Ids of texts as little-endian unsigned 32-bit numbers, the same as the library gives for whole texts.
 
-    if path not in _tokenizers:
-        _tokenizers[path] = Tokenizer.from_file(path)
-        _words[path] = {"": b""}
-    return _tokenizers[path], _words[path]
+    The tokenizer drops white space and nothing it matches crosses a space or a newline, so
+    each word is encoded once and its ids are reused. It composes letters with their marks
+    first and lower-cases then; where a text and its lower-case form are both composed, the
+    order is the same and fewer words differ. Special tokens are matched as they are written.
+    """
 
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.new: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.size = 0
+
+    def add(self, words: list[str]) -> None:
+        """Composed words go in as one text, whose ids fall to the words by where they start; the others one by one."""
+        joint = [w for w in words if "<|" not in w and is_normalized("NFC", w)]
+        for at in range(0, len(joint), 4096):
+            part = joint[at : at + 4096]
+            got = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            places = np.fromiter((x for x, _ in got.offsets), np.int64, len(got.offsets))
+            starts = np.cumsum([0, *(len(w) + 1 for w in part)])
+            cuts = (4 * np.searchsorted(places, starts)).tolist()
+            raw = np.array(got.ids, "<u4").tobytes()
+            for word, start, end in zip(part, cuts, cuts[1:]):
+                self.new[word] = raw[start:end]
+        apart = [w for w in words if "<|" in w or not is_normalized("NFC", w)]
+        for at in range(0, len(apart), 4096):
+            part = apart[at : at + 4096]
+            for word, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                self.new[word] = np.array(got.ids, "<u4").tobytes()
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        split = []
+        for text in texts:
+            text = text or ""
+            if "<|" not in text:
+                low = text.lower() if text.isascii() else text.encode(errors="replace").lower().decode()
+                if text.isascii() or is_normalized("NFC", text) and is_normalized("NFC", low):
+                    text = low
+            split.append(text.replace("\n", " ").split(" "))
+        words = set().union(*split) if split else set()
+        missing = words.difference(self.new)
+        if missing and self.before:
+            known = missing.intersection(self.before)
+            self.new.update((w, self.before[w]) for w in known)
+            missing -= known
+        self.add(list(missing))
+        self.size += sum(map(len, missing)) + 16 * len(missing)
+        new = self.new
+        out = [b"".join([new[w] for w in own]) for own in split]
+        if self.size > KEPT:
+            self.before, self.new, self.size = new, {}, 0
+        return out
 
-def encode_texts(texts: list[str | None], path: str) -> list[bytes]:
-    """Ids of each text as little-endian unsigned 32-bit numbers, the same as the library gives for the whole text.
 
-    The tokenizer drops white space and nothing it matches crosses a space or a newline,
-    so each word is encoded once per worker and its ids are reused. Letters A-Z are lower-cased
-    here already, as the tokenizer does it anyway, but not where a special token could stand.
-    """
-    tokenizer, known = _encoder(path)
-    split = []
-    for text in texts:
-        text = text or ""
-        if "<|" not in text:
-            text = text.lower() if text.isascii() else text.encode().lower().decode()
-        split.append(text.replace("\n", " ").split(" "))
-    new = list(set().union(*split).difference(known)) if split else []
-    if len(known) + len(new) > WORDS_KEPT:
-        known.clear()
-        known[""] = b""
-        new = list(set().union(*split) - {""})
-    for at in range(0, len(new), 4096):
-        part = new[at : at + 4096]
-        for word, got in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-            known[word] = np.array(got.ids, "<u4").tobytes()
-    return [b"".join([known[w] for w in words]) for words in split]
+def encode_texts(texts: list[str | None], path: str) -> list[bytes]:
+    return WordEncoder(path).encode(texts)
 
 
 def tokenised_pieces(docs: DataFrame, path: str, end_id: int = 0, size: int = SEQUENCE) -> DataFrame:
@@ -77,11 +104,11 @@ def tokenised_pieces(docs: DataFrame, path: str, end_id: int = 0, size: int = SE
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        encoder = WordEncoder(path)  # it ends with the partition
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in slices(batch, 1, 1_000_000):
                 out = ([], [], [], [], [])
-                for doc, ids in zip(part.column(0).to_pylist(), encode_texts(part.column(1).to_pylist(), path), strict=True):
+                for doc, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist()), strict=True):
                     ids += end
                     for k, s in enumerate(range(0, len(ids), 4 * size)):
                         own = ids[s : s + 4 * size]
