@@ -1 +1,3 @@
-"""Market analytics operators for Spark."""
+"""Column builders."""
+
+from tidemark.functions import french  # noqa: F401

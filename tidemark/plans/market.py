@@ -74,7 +74,8 @@ SQL: dict[str, str] = {
     # signals
     "signal_classes": f"SELECT symbol, CASE WHEN last <= 0 THEN 'NEUTRE' WHEN target / last - 1 >= 0.10 THEN 'ACHAT FORT' WHEN target / last - 1 >= 0.03 THEN 'ACHAT' WHEN target / last - 1 >= -0.03 THEN 'NEUTRE' WHEN target / last - 1 >= -0.10 THEN 'VENTE' ELSE 'VENTE FORTE' END AS signal FROM (SELECT symbol, close AS last, avg(close) OVER ({W} ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS target, row_number() OVER ({W} DESC) AS rn FROM bars) x WHERE rn = 1",
     # dividends, portfolio
-    "two_source_fusion": "SELECT ticker, exercice, max(CASE WHEN src = 'official' THEN 1 ELSE 0 END) AS official, coalesce(min_by(CASE WHEN src = 'official' THEN amount END, CASE WHEN src = 'official' AND amount IS NOT NULL THEN seq END), min_by(amount, CASE WHEN amount IS NOT NULL THEN seq END)) AS amount, count(*) AS n FROM two_source GROUP BY ticker, exercice",
+    # with an official row the first amount there is, official ones first; without one the first row's, even a null
+    "two_source_fusion": "SELECT ticker, exercice, max(CASE WHEN src = 'official' THEN 1 ELSE 0 END) AS official, CASE WHEN max(CASE WHEN src = 'official' THEN 1 ELSE 0 END) = 0 THEN min_by(coalesce(amount, -1), seq) ELSE coalesce(min_by(coalesce(amount, -1), CASE WHEN src = 'official' THEN seq END), -1) END AS first_amount, min_by(amount, CASE WHEN src <> 'official' AND amount IS NOT NULL THEN seq END) AS other_amount, count(*) AS n FROM two_source GROUP BY ticker, exercice",
     "keep_last": "SELECT ticker, exercice, seq, amount FROM (SELECT *, row_number() OVER (PARTITION BY ticker, exercice ORDER BY seq DESC) AS rn FROM two_source) x WHERE rn = 1",
     "status_counts": "SELECT sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS nb_a_venir, sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS nb_passes, sum(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) AS nb_a_preciser FROM orders",
     "net_deposits": "SELECT portfolio, sum(CASE type WHEN 'DEPOSIT' THEN amount WHEN 'WITHDRAW' THEN -amount ELSE 0 END) AS net_deposits, count(*) AS n FROM ledger GROUP BY portfolio",

@@ -40,11 +40,11 @@ SQL = {
     "walk_forward_metrics": f"{_WALK} SELECT curve, round(mean * 12 / (dev * sqrt(12)), 3) + 0.0 AS sharpe, round(deepest, 3) + 0.0 AS max_drawdown, round(power(final, CAST(365 AS DOUBLE) / DAYS(d2;d1)) - 1, 3) + 0.0 AS cagr FROM (SELECT curve, avg(r) AS mean, stddev_samp(r) AS dev, min(level / peak - 1) AS deepest, max_by(level, month) AS final, max(month) AS d2, min(month) AS d1 FROM (SELECT *, max(level) OVER (PARTITION BY curve ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS peak FROM level) x GROUP BY curve HAVING count(*) >= 2) y WHERE dev > 0",
     "inverse_volatility_weights": f"{_WALK} SELECT symbol, month, round(w, 8) AS weight FROM w",
     "rolling_beta": f"SELECT symbol, date, CASE WHEN n = 60 THEN round(cov / var, 6) + 0.0 END AS beta FROM (SELECT r.symbol, r.date, count(*) OVER (PARTITION BY r.symbol ORDER BY r.date ROWS BETWEEN 59 PRECEDING AND CURRENT ROW) AS n, covar_samp(r.ret, m.mret) OVER (PARTITION BY r.symbol ORDER BY r.date ROWS BETWEEN 59 PRECEDING AND CURRENT ROW) AS cov, var_samp(m.mret) OVER (PARTITION BY r.symbol ORDER BY r.date ROWS BETWEEN 59 PRECEDING AND CURRENT ROW) AS var FROM returns r JOIN market_returns m ON r.date = m.date WHERE r.ret IS NOT NULL AND m.mret IS NOT NULL) x",
-    "extreme_pairs": f"SELECT a, b, pearson, CASE WHEN hi <= 10 THEN 'most' ELSE 'least' END AS side FROM (SELECT *, row_number() OVER (ORDER BY pearson DESC, a, b) AS hi, row_number() OVER (ORDER BY pearson, a, b) AS lo FROM ({_PAIRS}) p) x WHERE hi <= 10 OR lo <= 10",
+    "extreme_pairs": f"WITH p AS ({_PAIRS}) SELECT * FROM (SELECT a, b, pearson, 'most' AS side FROM p ORDER BY pearson DESC, a, b LIMIT 10) x UNION ALL SELECT * FROM (SELECT a, b, pearson, 'least' AS side FROM p ORDER BY pearson, a, b LIMIT 10) y",
     "fear_greed": f"WITH {_FEATURES} SELECT date, round(score, 4) AS score, CASE WHEN score < 25 THEN 'extreme fear' WHEN score < 45 THEN 'fear' WHEN score < 55 THEN 'neutral' WHEN score < 75 THEN 'greed' ELSE 'extreme greed' END AS zone FROM (SELECT date, 10 * (3 * wide_s + 3 * (1 - vol_s) + 2 * momentum_s + 2 * (1 - disp_s)) AS score FROM (SELECT date, {_scaled('wide')} AS wide_s, {_scaled('vol')} AS vol_s, {_scaled('momentum')} AS momentum_s, {_scaled('disp')} AS disp_s FROM (SELECT d.date, d.wide, d.disp, i.momentum, v.vol FROM by_date d JOIN of_index i ON d.date = i.date JOIN of_vol v ON d.date = v.date) f) g) h",
     "sector_rotation": "SELECT r.sector, round(avg(x.m1), 6) AS m1, round(avg(x.y1), 6) AS y1 FROM (SELECT q.symbol, q.last / max_by(CASE WHEN b.date <= BACK(q.date;30) THEN b.close END, CASE WHEN b.date <= BACK(q.date;30) THEN b.date END) - 1 AS m1, q.last / max_by(CASE WHEN b.date <= BACK(q.date;365) THEN b.close END, CASE WHEN b.date <= BACK(q.date;365) THEN b.date END) - 1 AS y1 FROM quotes q JOIN bars b ON q.symbol = b.symbol GROUP BY q.symbol, q.last) x JOIN brand r ON x.symbol = r.symbol GROUP BY r.sector",
     "allocation_guard": "SELECT q.symbol, round(q.last * r.shares / t.total, 8) AS weight, CASE WHEN q.last * r.shares / t.total > 0.25 THEN 1 ELSE 0 END AS flagged FROM quotes q JOIN brand r ON q.symbol = r.symbol CROSS JOIN (SELECT sum(x.last * y.shares) AS total FROM quotes x JOIN brand y ON x.symbol = y.symbol) t",
-    "freshness": "SELECT symbol, date AS last_date, DAYS(max(date) OVER ();date) AS days_behind FROM quotes",
+    "freshness": "SELECT symbol, date AS last_date, DAYS(m.top;date) AS days_behind FROM quotes CROSS JOIN (SELECT max(date) AS top FROM bars) m",
     "aligned_covariance": f"WITH k AS (SELECT date FROM panel WHERE close IS NOT NULL GROUP BY date HAVING count(*) = (SELECT count(DISTINCT symbol) FROM bars)), al AS (SELECT b.symbol, b.date, b.close / lag(b.close) OVER (PARTITION BY b.symbol ORDER BY b.date) - 1 AS ret FROM panel b JOIN k ON b.date = k.date) SELECT x.symbol AS a, y.symbol AS b, round(30 * covar_samp(x.ret, y.ret), 6) + 0.0 AS covariance, count(*) AS n FROM al x JOIN al y ON x.date = y.date AND x.symbol <= y.symbol WHERE x.ret IS NOT NULL AND y.ret IS NOT NULL GROUP BY x.symbol, y.symbol HAVING count(*) >= 2",
     "scaled_series": f"SELECT symbol, date, CASE WHEN hi > lo THEN round((close - lo) / (hi - lo), 6) END AS scaled, CASE WHEN last >= first THEN 'up' ELSE 'down' END AS direction FROM (SELECT symbol, date, close, max(close) OVER (PARTITION BY symbol) AS hi, min(close) OVER (PARTITION BY symbol) AS lo, max_by(close, date) OVER (PARTITION BY symbol) AS last, min_by(close, date) OVER (PARTITION BY symbol) AS first FROM (SELECT *, row_number() OVER ({W} DESC) AS rn FROM bars) y WHERE rn <= 30) x",
     "company_card": "SELECT q.symbol, r.sector, q.last, round(q.last * r.shares, 4) AS cap, max(b.close) AS year_high, min(b.close) AS year_low FROM quotes q JOIN brand r ON q.symbol = r.symbol JOIN bars b ON b.symbol = q.symbol AND b.date > BACK(q.date;365) GROUP BY q.symbol, r.sector, q.last, r.shares",

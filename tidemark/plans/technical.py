@@ -53,5 +53,5 @@ SQL = {
     "trix": f"SELECT symbol, date, round(100 * (t3 / lag(t3) OVER ({W}) - 1), 4) + 0.0 AS trix FROM {_T3}",
     "cci": f"WITH t AS (SELECT * FROM {_TYPICAL}) SELECT a.symbol, a.date, CASE WHEN avg(abs(b.tp - a.ma)) > 1e-9 THEN round((a.tp - a.ma) / (0.015 * avg(abs(b.tp - a.ma))), 4) + 0.0 END AS cci FROM (SELECT symbol, date, tp, ma, pos, explode(sequence(0, 19)) AS back FROM t) a JOIN t b ON a.symbol = b.symbol AND b.pos = a.pos - a.back GROUP BY a.symbol, a.date, a.tp, a.ma",
     "money_flow": f"SELECT symbol, date, CASE WHEN plus + minus > 0 THEN round(100 * plus / (plus + minus), 4) END AS mfi FROM (SELECT symbol, date, sum(CASE WHEN tp > ptp THEN tp * volume ELSE 0 END) {over(14)} AS plus, sum(CASE WHEN tp < ptp THEN tp * volume ELSE 0 END) {over(14)} AS minus FROM (SELECT *, lag(tp) OVER ({W}) AS ptp FROM {_TYPICAL}) y) x",
-    "indicator_votes": f"SELECT m.symbol, m.date, CASE WHEN r.rsi < 30 THEN 1 WHEN r.rsi > 70 THEN -1 ELSE 0 END AS momentum_vote, CASE WHEN m.fast - m.slow > m.sig THEN 1 ELSE -1 END AS trend_vote FROM {_MACD.removesuffix('sig_')} m JOIN {_RSI.removesuffix('rsi_')} r ON m.symbol = r.symbol AND m.date = r.date WHERE abs(m.fast - m.slow - m.sig) > 1e-6",
+    "indicator_votes": f"SELECT m.symbol, m.date, CASE WHEN r.rsi < 30 THEN 1 WHEN r.rsi > 70 THEN -1 ELSE 0 END AS momentum_vote, CASE WHEN m.fast - m.slow - m.sig > 1e-6 THEN 1 WHEN m.fast - m.slow - m.sig < -1e-6 THEN -1 ELSE 0 END AS trend_vote FROM {_MACD.removesuffix('sig_')} m JOIN {_RSI.removesuffix('rsi_')} r ON m.symbol = r.symbol AND m.date = r.date",
 }

@@ -1 +1,3 @@
-"""Market analytics operators for Spark."""
+"""Scans and sinks."""
+
+from tidemark.sources import files, sinks  # noqa: F401

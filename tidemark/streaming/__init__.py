@@ -1 +1,3 @@
-"""Market analytics operators for Spark."""
+"""Streams."""
+
+from tidemark.streaming import ingest  # noqa: F401
