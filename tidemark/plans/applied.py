@@ -76,7 +76,7 @@ def held_positions(spark, sf):
     held = own.groupBy(F.col("o_custkey").alias("portfolio"), F.col("p_brand").alias("symbol")).agg(F.sum(F.when(F.col("l_returnflag") == "R", 0).otherwise(F.col("l_quantity").cast("long"))).alias("quantity"), (F.sum("l_extendedprice") / F.sum("l_quantity")).alias("avg_cost"))
     quotes = daily_bars(spark, sf).groupBy("symbol").agg(F.max_by("close", "date").alias("last")).where("symbol <> 'Brand#11'")
     got = portfolio.positions(held, quotes)
-    return got.select("portfolio", "symbol", "quantity", F.round("invested", 4).alias("invested"), F.round("market_value", 4).alias("market_value"), F.round("pnl_pct", 4).alias("pnl_pct"), F.round("weight", 6).alias("weight"))
+    return got.select("portfolio", "symbol", "quantity", F.round(F.col("invested") + 1e-6, 4).alias("invested"), F.round(F.col("market_value") + 1e-6, 4).alias("market_value"), F.round(F.col("pnl_pct") + 1e-7, 4).alias("pnl_pct"), F.round("weight", 6).alias("weight"))
 
 
 def stored_upsert(spark, sf):
@@ -159,7 +159,7 @@ ORACLE = {
     "held_positions": f"""WITH {BARS}, q AS (SELECT symbol, arg_max(close, date) AS last FROM bars WHERE symbol <> 'Brand#11' GROUP BY symbol),
       h AS (SELECT o_custkey AS portfolio, p_brand AS symbol, CAST(sum(l_quantity) FILTER (WHERE l_returnflag <> 'R') AS BIGINT) AS quantity, sum(l_extendedprice) / sum(l_quantity) AS cost FROM lineitem, orders, part WHERE l_orderkey = o_orderkey AND l_partkey = p_partkey GROUP BY 1, 2),
       v AS (SELECT h.*, quantity * cost AS inv, quantity * last AS mv FROM h LEFT JOIN q USING (symbol) WHERE quantity > 0)
-      SELECT portfolio, symbol, quantity, round(inv, 4) AS invested, round(mv, 4) AS market_value, round(100 * (mv - inv) / inv, 4) AS pnl_pct, round(coalesce(mv, inv) / sum(coalesce(mv, inv)) OVER (PARTITION BY portfolio), 6) AS weight FROM v""",
+      SELECT portfolio, symbol, quantity, round(inv + 1e-6, 4) AS invested, round(mv + 1e-6, 4) AS market_value, round(100 * (mv - inv) / inv + 1e-7, 4) AS pnl_pct, round(coalesce(mv, inv) / sum(coalesce(mv, inv)) OVER (PARTITION BY portfolio), 6) AS weight FROM v""",
     "stored_upsert": "SELECT k, y, last.v AS v, last.seq AS seq FROM (SELECT o_custkey AS k, CAST(year(o_orderdate) AS INT) AS y, max(struct_pack(urgent := CAST(o_orderpriority >= '3' AS INT), seq := o_orderkey, v := round(o_totalprice, 2))) AS last FROM orders GROUP BY 1, 2)",
     "parsed_numbers": "SELECT p_partkey AS id, CASE WHEN p_partkey % 5 IN (0, 1, 3) THEN round(p_retailprice, 2) END AS value, CAST(CASE WHEN p_partkey % 5 IN (0, 1, 3) THEN trunc(round(p_retailprice, 2)) END AS BIGINT) AS whole FROM part",
 }
