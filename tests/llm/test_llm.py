@@ -11,7 +11,7 @@ import pytest
 
 from tidemark.llm import chroma, exact, graph, jaccard, language, licences, lines, packing, pieces, quality, warc
 
-TEXTS = [None, "", " ", "\n\n", "Une ligne assez longue\ncourte\nUne ligne assez longue", "une LIGNE assez longue \nautre chose ici", "Same text of seven words right here", "same text of Seven words right here", "x" * 30_000, "mot " * 9000, "123 456", "日本語 <|endoftext|> ▁a  b", "Released under the MIT License.\nfoo"]
+TEXTS = [None, "", " ", "\n\n", "Une ligne assez longue\ncourte\nUne ligne assez longue", "une LIGNE assez longue \nautre chose ici", "Same text of seven words right here", "same text of Seven words right here", "x" * 30_000, "mot " * 9000, "123 456", "日本語 <|endoftext|> ▁a  b", "Released under the MIT License.\nfoo", "H\u0331ima J\u030c T\u0308 W\u030a Y\u030a E\u0301 I\u0307"]
 SCHEMA = "doc_id long, text string, lang string, score double, piece int, kind int, n long, part int"
 
 

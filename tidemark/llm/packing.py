@@ -29,8 +29,9 @@ from tidemark.llm.common import QUERIES, slices, table, written
 
 SEQUENCE = 2048
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-#: Characters of words kept while a partition is read (each word counts 16 more), twice: what is new, and what was new before. It bounds memory and changes no result.
-KEPT = 4_000_000
+#: Characters of words kept per Python worker (each word counts 16 more); beyond that the store starts anew. It bounds memory and changes no result.
+KEPT = 32_000_000
+_encoders: dict[str, WordEncoder] = {}
 
 
 class WordEncoder:
@@ -46,54 +47,40 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.new: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}
         self.size = 0
 
-    def add(self, words: list[str]) -> None:
-        """Composed words go in as one text, whose ids fall to the words by where they start; the others one by one."""
-        joint = [w for w in words if "<|" not in w and is_normalized("NFC", w)]
-        for at in range(0, len(joint), 4096):
-            part = joint[at : at + 4096]
-            got = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            places = np.fromiter((x for x, _ in got.offsets), np.int64, len(got.offsets))
-            starts = np.cumsum([0, *(len(w) + 1 for w in part)])
-            cuts = (4 * np.searchsorted(places, starts)).tolist()
-            raw = np.array(got.ids, "<u4").tobytes()
-            for word, start, end in zip(part, cuts, cuts[1:]):
-                self.new[word] = raw[start:end]
-        apart = [w for w in words if "<|" in w or not is_normalized("NFC", w)]
-        for at in range(0, len(apart), 4096):
-            part = apart[at : at + 4096]
-            for word, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.new[word] = np.array(got.ids, "<u4").tobytes()
-
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = []
         for text in texts:
             text = text or ""
             if "<|" not in text:
-                low = text.lower() if text.isascii() else text.encode(errors="replace").lower().decode()
-                if text.isascii() or is_normalized("NFC", text) and is_normalized("NFC", low):
+                plain = text.isascii()
+                low = text.lower() if plain else text.encode(errors="replace").lower().decode()
+                if plain or is_normalized("NFC", text) and is_normalized("NFC", low):
                     text = low
             split.append(text.replace("\n", " ").split(" "))
-        words = set().union(*split) if split else set()
-        missing = words.difference(self.new)
-        if missing and self.before:
-            known = missing.intersection(self.before)
-            self.new.update((w, self.before[w]) for w in known)
-            missing -= known
-        self.add(list(missing))
-        self.size += sum(map(len, missing)) + 16 * len(missing)
-        new = self.new
-        out = [b"".join([new[w] for w in own]) for own in split]
+        known, words = self.known, set().union(*split) if split else set()
         if self.size > KEPT:
-            self.before, self.new, self.size = new, {}, 0
-        return out
+            known.clear()
+            self.size = 0
+        new = list(words.difference(known))
+        self.size += sum(map(len, new)) + 16 * len(new)
+        for at in range(0, len(new), 4096):
+            part = new[at : at + 4096]
+            for word, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                known[word] = np.array(got.ids, "<u4").tobytes()
+        return [b"".join([known[w] for w in own]) for own in split]
+
+
+def encoder_of(path: str) -> WordEncoder:
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
 
 
 def encode_texts(texts: list[str | None], path: str) -> list[bytes]:
-    return WordEncoder(path).encode(texts)
+    return encoder_of(path).encode(texts)
 
 
 def tokenised_pieces(docs: DataFrame, path: str, end_id: int = 0, size: int = SEQUENCE) -> DataFrame:
@@ -104,7 +91,7 @@ def tokenised_pieces(docs: DataFrame, path: str, end_id: int = 0, size: int = SE
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = WordEncoder(path)  # it ends with the partition
+        encoder = encoder_of(path)
         for batch in batches:
             for part in slices(batch, 1, 1_000_000):
                 out = ([], [], [], [], [])
