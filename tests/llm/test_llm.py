@@ -256,6 +256,49 @@ def test_chroma_bit_errors(spark):
     assert got[150].best_offset == -10 and all(got[k].bit_error < chroma.LIMIT for k in (50, 100, 150))
 
 
+def test_chroma_search(spark, monkeypatch):
+    """Blocks, parts and slices of hits against all offsets tried one by one."""
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 32, (4, 24), np.uint64).astype(np.uint32)
+    base[:, :8] = base[0, :8]
+    prints = []
+    for k in range(60):
+        own = base[k % 4].copy()
+        for at in rng.integers(0, 24, k % 9):
+            own[at] ^= np.uint32(1 << int(rng.integers(0, 32)))
+        prints.append(own[int(rng.integers(0, 6)) : int(rng.integers(8, 25))] if k % 3 else own)
+    prints += [base[0][:1], base[0][:3], np.full(700, base[1][3]), np.full(900, base[1][3])]
+    shifted = {k: [p, p[1:]] for k, p in enumerate(prints) if k % 5 == 0 or k > 61}
+
+    def tried(a, b):
+        short = min(len(a), len(b))
+        run, out = max(min(4, short), -(-short // 2)), []
+        for off in range(-len(a), len(b)):
+            s, e = max(0, -off), min(len(a), len(b) - off)
+            bits = np.array([int(x ^ y).bit_count() for x, y in zip(a[s:e], b[s + off : e + off], strict=True)])
+            if run and e - s >= run and (least := min(bits[i : i + run].sum() for i in range(e - s - run + 1)) / (32 * run)) < chroma.LIMIT:
+                out.append((-int((bits == 0).sum()), float(least), abs(off), off))
+        return out
+
+    want = {}
+    for q, starts in shifted.items():
+        for o, b in enumerate(prints):
+            if q != o and (best := min((x for a in starts for x in tried(a, b)), default=None)):
+                want[q, o] = (best[3], -best[0], round(best[1], 9))
+    table = spark.createDataFrame([(k, p.astype(int).tolist(), [x.astype(int).tolist() for x in shifted[k]] if k in shifted else None) for k, p in enumerate(prints)], "class_id long, fingerprint array<long>, shifted array<array<long>>")
+    assert len(want) > 100
+    for sizes in ((2_000_000, 2_000_000, 2, 500_000), (100, 300, 1, 50)):
+        for name, value in zip(("POINTS", "INTEGERS", "PARTS", "HITS"), sizes, strict=True):
+            monkeypatch.setattr(chroma, name, value)
+        limits = sizes[3]
+        search = chroma.Search(np.array([q for q, s in shifted.items() for _ in s]), [a for s in shifted.values() for a in s])
+        got = {(q, o): (f, m, round(e, 9)) for rows in search.found(np.arange(len(prints)), prints) for q, o, f, m, e in zip(*(x.tolist() for x in rows), strict=True)}
+        assert got == want, limits
+    assert {(r.query, r.other): (r.offset, r.matches, round(r.bit_error, 9)) for r in chroma.aligned(table).collect()} == want
+    best = {r.query: (r.n_aligned, r.best.other) for r in chroma.best_aligned(table).collect()}
+    assert best == {q: (sum(k[0] == q for k in want), min((v[2], -v[1], k[1]) for k, v in want.items() if k[0] == q)[2]) for q in {k[0] for k in want}}
+
+
 def test_licences(spark, docs, empty):
     own = docs.select("doc_id", "text")
     model = licences.LicenceModel.fit(own)

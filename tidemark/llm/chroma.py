@@ -13,6 +13,9 @@ also fingerprinted from every STEP-th sample of the first hop on, as shifts need
 multiples of a hop. With a mean below 1.5 bits an integer, more than a quarter of such a
 run's windows differ in one bit at most: so the candidates are the offsets at which that
 many integers meet a query's integers or these with one bit turned, and none is lost.
+Blocks of queries meet parts of all recordings in tasks of their own, where hits are
+counted and summed up by query: work grows with queries times recordings, as a search of
+all rows for a share of them does, but no hit and no pair is shuffled.
 
 A window needs WHOLE bytes. Shorter media are repeated up to it, one window for each
 hop that holds samples, so they have a class and alignments too; n_windows counts whole
@@ -41,6 +44,8 @@ FILTERS = [(k, (5 * i) % 12, 1 + i % 4, i % 3, 3 + i % 6) for i, k in enumerate(
 LIMITS = (-0.12, 0.0, 0.12)
 #: Bit error of an alignment (the candidates' count of hits follows from it), windows it needs, samples between a query's starts.
 LIMIT, LEAST, STEP = 1.5 / 32, 4, 32
+#: Integers of a block of queries and of a part of the recordings, parts at least, hits counted at a time. They bound memory and change no result.
+POINTS, INTEGERS, PARTS, HITS = 2_000_000, 2_000_000, 64, 500_000
 _bins = np.arange(1, FRAME // 2)
 _class = np.round(12 * np.log2(_bins * RATE / FRAME / 440)).astype(int) % 12
 _fold = np.zeros((FRAME // 2 - 1, 12), np.float32)
@@ -108,47 +113,178 @@ def fingerprinted(media: DataFrame, id_column: str, column: str, every: int = EV
     return media.select(F.col(id_column).cast("long"), F.col(column).cast("binary")).mapInArrow(compute, "id long, n_windows long, n_integers long, fingerprint array<long>, crc long, shifted array<array<long>>")
 
 
-def alignment(a: np.ndarray, b: np.ndarray, offset: int) -> tuple[int, float] | None:
-    """Equal integers of the overlap and the least bit error of a run, if a and b align at the offset."""
-    start, end = max(0, -offset), min(len(a), len(b) - offset)
-    short = min(len(a), len(b))
-    run = max(min(LEAST, short), -(-short // 2))
-    if end - start < run:
-        return None
-    bits = np.bitwise_count(a[start:end] ^ b[start + offset : end + offset]).astype(np.int64)
-    total = np.concatenate([[0], bits.cumsum()])
-    error = float((total[run:] - total[:-run]).min()) / (32 * run)
-    return (int((bits == 0).sum()), error) if error < LIMIT else None
+def run_of(short):
+    """Windows of an alignment: half of the shorter recording's, LEAST or all of it at least."""
+    return np.maximum(np.minimum(LEAST, short), -(-short // 2))
+
+
+def ragged(counts: np.ndarray) -> np.ndarray:
+    """0 to n - 1 for each n of counts, one after the other."""
+    ends = counts.cumsum()
+    return np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - counts, counts)
+
+
+def spans(counts: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Stretches of counts (above 0) with a sum of about most, or of one count."""
+    cuts = [*np.unique(np.searchsorted(counts.cumsum(), np.arange(0, int(counts.sum()), most), "right")).tolist(), len(counts)]
+    return list(zip(cuts[:-1], cuts[1:], strict=True))
+
+
+def flat(lists) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All integers of an Arrow list column, where each list begins, and how many it has."""
+    n = np.array([len(x) for x in lists], np.int64)
+    values = np.concatenate([np.asarray(x, np.int64) for x in lists]).astype(np.uint32) if n.sum() else np.zeros(0, np.uint32)
+    return values, n.cumsum() - n, n
+
+
+class Search:
+    """A block of queries, from each start, held against other recordings a few at a time."""
+
+    def __init__(self, queries: np.ndarray, prints: list):
+        """queries: the class of each start; prints: its integers."""
+        self.queries, (self.a, self.begin, self.na) = queries, flat(prints)
+        start, at = np.repeat(np.arange(len(self.na)), self.na), ragged(self.na)
+        keys = (self.a.astype(np.uint64) << np.uint64(31)) + start.astype(np.uint64)
+        order = keys.argsort(kind="stable")
+        self.keys, self.start, self.at = keys[order], start[order], at[order]
+
+    def near(self, values: np.ndarray, first: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place in values, place in the index, number): what differs in one bit at most and is of the starts from first to end."""
+        turned = np.array([0, *(1 << k for k in range(32))], np.uint32)
+        distinct, back = np.unique(values, return_inverse=True)
+        found = []
+        for k in range(0, len(distinct), 1 << 15):
+            wanted = (distinct[k : k + (1 << 15), None] ^ turned).astype(np.uint64) << np.uint64(31)
+            low, high = (np.searchsorted(self.keys, wanted + np.uint64(x)) for x in (first, end))
+            row, bit = np.nonzero(high > low)
+            found.append((row + k, low[row, bit], (high - low)[row, bit]))
+        row, low, n = (np.concatenate(x) for x in zip(*found, strict=True))
+        each = np.bincount(row, minlength=len(distinct))  # rows come in order, so those of one value stand together
+        own = each[back]
+        take = np.repeat((each.cumsum() - each)[back], own) + ragged(own)
+        return np.repeat(np.arange(len(values)), own), low[take], n[take]
+
+    def peaks(self, ids, b, begin, nb, c0: int, c1: int):
+        """Rows (query, other, offset, matches, bit error) of the recordings from c0 to c1, all of a recording in one yield."""
+        todo, rows = [(0, len(self.na))], []
+        values = b[begin[c0] : begin[c1 - 1] + nb[c1 - 1]]
+        of, pos = np.repeat(np.arange(c0, c1), nb[c0:c1]), ragged(nb[c0:c1])
+        while todo:
+            first, end = todo.pop()
+            place, low, n = self.near(values, first, end)
+            if n.sum() > HITS and c1 - c0 > 1:
+                mid = (c0 + c1) // 2
+                yield from self.peaks(ids, b, begin, nb, c0, mid)
+                yield from self.peaks(ids, b, begin, nb, mid, c1)
+                return
+            if n.sum() > HITS and end - first > 1:
+                mid = (first + end) // 2
+                todo += [(first, mid), (mid, end)]
+                continue
+            wide = int(self.na[first:end].max() + nb[c0:c1].max()) + 1
+            keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            for k, stop in spans(n, HITS):  # more than one only for a single start and recording
+                many = n[k:stop]
+                at, i = np.repeat(low[k:stop], many) + ragged(many), np.repeat(place[k:stop], many)
+                key = (self.start[at] * (c1 - c0) + of[i] - c0) * wide + pos[i] - self.at[at] + int(self.na[first:end].max())
+                got, often = np.unique(key, return_counts=True)
+                keys, back = np.unique(np.concatenate([keys, got]), return_inverse=True)
+                counts = np.bincount(back, np.concatenate([counts, often]), len(keys)).astype(np.int64)
+            pair, offset = keys // wide, keys % wide - int(self.na[first:end].max())
+            start, other = pair // (c1 - c0), pair % (c1 - c0) + c0
+            keep = (4 * counts > run_of(np.minimum(self.na[start], nb[other]))) & (self.queries[start] != ids[other])
+            rows.append(self.held(b, begin, nb, start[keep], other[keep], offset[keep]))
+        start, other, offset, matches, error = (np.concatenate(x) for x in zip(*rows, strict=True))
+        query, other = self.queries[start], ids[other]
+        order = np.lexsort((offset, np.abs(offset), error, -matches, other, query))
+        query, other = query[order], other[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (query[1:] != query[:-1]) | (other[1:] != other[:-1])
+        yield query[new], other[new], offset[order][new], matches[order][new], error[order][new]
+
+    def held(self, b, begin, nb, start, other, offset):
+        """The candidates whose least bit error of a run is below LIMIT, with equal integers and that error."""
+        first = np.maximum(0, -offset)
+        long = np.minimum(self.na[start], nb[other] - offset) - first
+        run = run_of(np.minimum(self.na[start], nb[other]))
+        keep = long >= run
+        start, other, offset, first, long, run = (x[keep] for x in (start, other, offset, first, long, run))
+        matches, error = np.zeros(len(start), np.int64), np.zeros(len(start))
+        for k, stop in spans(long, 8 * HITS):
+            n, r, within = long[k:stop], run[k:stop], ragged(long[k:stop])
+            left = self.a[np.repeat(self.begin[start[k:stop]] + first[k:stop], n) + within]
+            right = b[np.repeat(begin[other[k:stop]] + first[k:stop] + offset[k:stop], n) + within]
+            bits = np.bitwise_count(left ^ right).astype(np.int64)
+            total, begins, runs = np.concatenate([[0], bits.cumsum()]), n.cumsum() - n, n - r + 1
+            at = np.repeat(begins, runs) + ragged(runs)
+            matches[k:stop] = np.add.reduceat((bits == 0).astype(np.int64), begins)
+            error[k:stop] = np.minimum.reduceat(total[at + np.repeat(r, runs)] - total[at], runs.cumsum() - runs) / (32 * r)
+        keep = error < LIMIT
+        return start[keep], other[keep], offset[keep], matches[keep], error[keep]
+
+    def found(self, ids, prints: list):
+        """The rows of peaks for all recordings, some thousand integers of them at a time."""
+        b, begin, nb = flat(prints)
+        cuts = [0, *(np.flatnonzero(np.diff(begin // (1 << 16))) + 1), len(nb)] if len(nb) else [0]
+        for c0, c1 in zip(cuts[:-1], cuts[1:], strict=True):
+            yield from self.peaks(ids, b, begin, nb, int(c0), int(c1))
+
+
+def best_of(rows: list) -> list:
+    """(query, n_aligned, other, offset, matches, bit error): the number of each query's rows and the best of them."""
+    query, n, other, offset, matches, error = (np.concatenate(x) for x in zip(*rows, strict=True))
+    order = np.lexsort((other, -matches, error, query))
+    query = query[order]
+    begins = np.flatnonzero(np.concatenate([[True], query[1:] != query[:-1]])) if len(query) else np.zeros(0, np.int64)
+    counts = np.add.reduceat(n[order], begins) if len(begins) else n
+    return [query[begins], counts, *(x[order][begins] for x in (other, offset, matches, error))]
+
+
+def searched(prints: DataFrame, pairs: bool) -> DataFrame:
+    """Queries in blocks against all recordings in parts, each block with each part in a task of its own.
+
+    Hits are counted within the task, so what is shuffled are blocks and parts and not the
+    hits of integers that many recordings share. Blocks and parts hold about POINTS and
+    INTEGERS integers at any size of the corpus.
+    """
+    points = F.aggregate(F.transform("shifted", lambda x: F.size(x)), F.lit(0).cast("long"), lambda x, y: x + y)
+    total = prints.agg(F.sum(points), F.sum(F.size("fingerprint"))).first()
+    blocks, parts = max(1, -(-(total[0] or 0) // POINTS)), max(PARTS, -(-(total[1] or 0) // INTEGERS))
+    dealt = F.pmod(F.xxhash64("class_id"), F.lit(blocks)), F.pmod(F.xxhash64(F.lit(1), F.col("class_id")), F.lit(parts))
+    each_block, each_part = (F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))) for n in (blocks, parts))
+    asked = prints.where("shifted is not null").select(dealt[0].alias("block"), F.col("class_id").alias("query"), F.explode("shifted").alias("a")).select("block", each_part.alias("part"), "query", "a")
+    rest = prints.select(each_block.alias("block"), dealt[1].alias("part"), F.col("class_id").alias("other"), F.col("fingerprint").alias("b"))
+
+    def hold(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows, seen = [], 0
+        if left.num_rows and right.num_rows:
+            search = Search(left["query"].to_numpy(), [x.values for x in left["a"]])
+            for query, other, offset, matches, error in search.found(right["other"].to_numpy(), [x.values for x in right["b"]]):
+                rows.append([query, np.ones(len(query), np.int64), other, offset, matches, error])
+                seen += len(query)
+                if not pairs and seen > HITS:
+                    rows, seen = [best_of(rows)], 0
+        if rows:
+            query, n, other, offset, matches, error = (np.concatenate(x) for x in zip(*rows, strict=True)) if pairs else best_of(rows)
+        else:
+            query = n = other = offset = matches = np.zeros(0, np.int64)
+            error = np.zeros(0)
+        return pa.table({"query": query, "n_aligned": n, "other": other, "offset": offset, "matches": matches, "bit_error": error})
+
+    many = min(blocks * parts, 1 << 16)
+    left, right = (x.repartition(many, "block", "part").groupBy("block", "part") for x in (asked, rest))
+    return left.cogroup(right).applyInArrow(hold, "query long, n_aligned long, other long, offset long, matches long, bit_error double")
 
 
 def aligned(prints: DataFrame) -> DataFrame:
-    """query, other, offset, matches, bit_error for classes (class_id, fingerprint, shifted: null but for queries)."""
-    posts = prints.select("class_id", F.size("fingerprint").alias("nb"), F.posexplode("fingerprint").alias("pos", "value"))
-    asked = prints.where("shifted is not null").select(F.col("class_id").alias("query"), F.posexplode("shifted").alias("start", "a"))
-    points = asked.select("query", "start", F.size("a").alias("na"), F.posexplode("a").alias("at", "point"))
-    turned = F.array(F.lit(0).cast("long"), *(F.lit(1 << k).cast("long") for k in range(32)))
-    probes = points.select("point").distinct().select("point", F.explode(F.transform(turned, lambda bit: F.col("point").bitwiseXOR(bit))).alias("value"))
-    near = written(probes.join(posts.select("value").distinct(), "value"), "near")
-    hits = points.join(near, "point").join(posts.select(F.col("class_id").alias("other"), "nb", "pos", "value"), "value").where("query <> other")
-    short = F.least("na", "nb")
-    peaks = hits.groupBy("query", "start", "other", "na", "nb", (F.col("pos") - F.col("at")).cast("long").alias("offset")).count().where(4 * F.col("count") > F.greatest(F.least(F.lit(LEAST), short), F.ceil(short / 2)))
-    pairs = peaks.groupBy("query", "start", "other").agg(F.collect_list("offset").alias("offsets"))
-    rest = prints.select(F.col("class_id").alias("other"), F.col("fingerprint").alias("b"))
-
-    def hold(batches):
-        for batch in batches:
-            out = ([], [], [], [], [])
-            for q, o, offsets, a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                a, b = np.array(a, np.uint32), np.array(b, np.uint32)
-                for off in offsets:
-                    if got := alignment(a, b, off):
-                        for c, v in zip(out, (q, o, off, *got), strict=True):
-                            c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query", "other", "offset", "matches", "bit_error"])
+    """query, other, offset, matches, bit_error of all aligned classes (class_id, fingerprint, shifted: null but for queries)."""
+    return searched(prints, True).drop("n_aligned")
 
-    found = pairs.join(asked, ["query", "start"]).join(rest, "other").select("query", "other", "offsets", "a", "b").mapInArrow(hold, "query long, other long, offset long, matches long, bit_error double")
-    peak = F.max_by(F.struct("offset", "matches", "bit_error"), F.struct("matches", -F.col("bit_error"), -F.abs("offset"), -F.col("offset"))).alias("peak")
-    return found.groupBy("query", "other").agg(peak).select("query", "other", "peak.*")
+
+def best_aligned(prints: DataFrame) -> DataFrame:
+    """query, n_aligned and the best aligned class of each query that has one."""
+    best = F.min_by(F.struct("other", "offset", "bit_error"), F.struct("bit_error", -F.col("matches"), "other")).alias("best")
+    return searched(prints, False).groupBy("query").agg(F.sum("n_aligned").alias("n_aligned"), best)
 
 
 def matched(media: DataFrame, id_column: str, column: str, every: int = EVERY) -> DataFrame:
@@ -158,8 +294,7 @@ def matched(media: DataFrame, id_column: str, column: str, every: int = EVERY) -
     rows = rows.withColumn("key", key)
     classes = rows.where("key is not null").groupBy("key").agg(F.min("id").alias("class_id"), F.max(F.col("id") % every == 0).alias("is_query"), F.first("fingerprint").alias("fingerprint"), F.min_by("shifted", F.when(F.col("shifted").isNotNull(), F.col("id"))).alias("shifted"))
     classes = written(classes, "classes")
-    best = F.min_by(F.struct("other", "offset", "bit_error"), F.struct("bit_error", -F.col("matches"), "other")).alias("best")
-    found = aligned(classes).groupBy(F.col("query").alias("class_id")).agg(F.count("*").alias("n_aligned"), best)
+    found = best_aligned(classes).withColumnRenamed("query", "class_id")
     whole = classes.select("key", "class_id", "is_query").join(found, "class_id", "left")
     out = rows.join(whole, "key", "left")
     return out.select("id", F.coalesce("class_id", "id").alias("class_id"), "n_windows", "n_integers", F.col("crc").alias("fingerprint_crc"), F.coalesce("is_query", F.lit(False)).alias("is_query"), F.coalesce("n_aligned", F.lit(0)).cast("long").alias("n_aligned"), F.col("best.other").alias("best_class"), F.col("best.offset").alias("best_offset"), F.col("best.bit_error").alias("bit_error"))
