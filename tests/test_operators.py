@@ -67,6 +67,16 @@ def test_series(spark):
     assert sorted(window) == [D(2021, 2, 28), D(2021, 3, 1), D(2024, 2, 29)]
 
 
+def test_parabolic_sar(spark):
+    """Worked by hand: a rise, then a fall below the stop."""
+    prices = [(10, 9, 9.5), (11, 10, 10.5), (12, 11, 11.5), (11.5, 8, 8.5), (9, 7, 7.5)]
+    rows = [("A", D(2024, 1, k + 1), float(h), float(low), float(c)) for k, (h, low, c) in enumerate(prices)] + [("A", D(2024, 1, 9), None, 1.0, 1.0), ("B", D(2024, 1, 1), 1.0, 1.0, 1.0)]
+    own = spark.createDataFrame(rows, "symbol string, date date, high double, low double, close double")
+    got = [(r.symbol, r.date.day, round(r.sar, 9), r.rising) for r in bars.parabolic_sar(own).orderBy("date").collect()]
+    assert got == [("A", 2, 9.0, True), ("A", 3, 9.0, True), ("A", 4, 12.0, False), ("A", 5, 12.0, False)]
+    assert bars.parabolic_sar(own.limit(0)).count() == 0
+
+
 def test_kendall(spark):
     rng = random.Random(1)
     x, y = ([rng.randint(0, 5) for _ in range(20)] for _ in "ab")

@@ -100,3 +100,34 @@ def kendall_pairs(values: DataFrame) -> DataFrame:
     two = own.join(late, ["a", "b"]).where("date < date2").select("a", "b", F.signum(F.col("x2") - F.col("x")).alias("dx"), F.signum(F.col("y2") - F.col("y")).alias("dy"))
     sums = two.groupBy("a", "b").agg(F.sum(F.col("dx") * F.col("dy")).alias("s"), F.sum(F.abs("dx")).alias("px"), F.sum(F.abs("dy")).alias("py"), F.count("*").alias("n"))
     return sums.select("a", "b", "n", F.try_divide("s", F.sqrt(F.col("px") * F.col("py"))).alias("tau"))
+
+
+def parabolic_sar(bars: DataFrame, step: float = 0.02, most: float = 0.2) -> DataFrame:
+    """symbol, date, sar, rising: Wilder's stop and reverse from each symbol's second bar on.
+
+    The first trend is that of the first two closes, equal ones count as rising. Bars with a
+    null date, high, low or close are left out. A group is one symbol's days.
+    """
+
+    def follow(own):
+        own = own.sort_values("date", kind="stable")
+        high, low, close = (own[c].to_numpy(float) for c in ("high", "low", "close"))
+        stops, trends = [], []
+        for i in range(1, len(own)):
+            if i == 1:
+                rising = close[1] >= close[0]
+                stop, extreme, pace = (low[0], max(high[0], high[1]), step) if rising else (high[0], min(low[0], low[1]), step)
+            else:
+                stop += pace * (extreme - stop)
+                stop = min(stop, low[i - 1], low[i - 2]) if rising else max(stop, high[i - 1], high[i - 2])
+                if low[i] < stop if rising else high[i] > stop:
+                    rising, stop, extreme, pace = not rising, extreme, low[i] if rising else high[i], step
+                elif high[i] > extreme if rising else low[i] < extreme:
+                    extreme, pace = high[i] if rising else low[i], min(pace + step, most)
+            stops.append(stop)
+            trends.append(bool(rising))
+        return own[["symbol", "date"]].iloc[1:].assign(sar=stops, rising=trends)
+
+    own = bars.select("symbol", "date", *(F.col(c).cast("double").alias(c) for c in ("high", "low", "close"))).dropna(subset=["date", "high", "low", "close"])
+    kinds = dict(own.dtypes)
+    return own.groupBy("symbol").applyInPandas(follow, f"symbol {kinds['symbol']}, date {kinds['date']}, sar double, rising boolean")
