@@ -53,17 +53,25 @@ def matrix(own: pd.DataFrame, value: str) -> tuple[list[str], np.ndarray]:
     return names, own.pivot(index="a", columns="b", values=value).loc[names, names].to_numpy(float)
 
 
+def condition_number(m: np.ndarray) -> float:
+    """Infinite where there is none, as for a covariance of a single date."""
+    try:
+        return float(np.linalg.cond(m)) if np.isfinite(m).all() else float("inf")
+    except np.linalg.LinAlgError:
+        return float("inf")
+
+
 def conditioned(covariance: DataFrame, most: float = 1000.0, horizon: int = HORIZON) -> DataFrame:
     """as_of, a, b, cov (over the horizon; diagonal only where the condition number stays above most), cond_raw, cond_shrunk, fallback. One matrix of the symbols for each as_of."""
 
     def one(own: pd.DataFrame) -> pd.DataFrame:
         names, shrunk = matrix(own, "shrunk")
-        raw = float(np.linalg.cond(matrix(own, "raw")[1]))
-        cond = float(np.linalg.cond(shrunk))
+        raw = condition_number(matrix(own, "raw")[1])
+        cond = condition_number(shrunk)
         fallback = cond > most
         if fallback:
             shrunk = np.diag(np.diag(shrunk))
-            cond = float(np.linalg.cond(shrunk))
+            cond = condition_number(shrunk)
         p = len(names)
         return pd.DataFrame({"as_of": [own["as_of"].iloc[0]] * p * p, "a": np.repeat(names, p), "b": names * p, "cov": horizon * shrunk.ravel(), "cond_raw": raw, "cond_shrunk": cond, "fallback": fallback})
 
@@ -83,8 +91,41 @@ def posterior(cov: np.ndarray, views: np.ndarray, variances: np.ndarray, seen: n
     return gain @ views, cov + tau * cov - gain @ p @ (tau * cov)
 
 
+def projected(v: np.ndarray, most: float) -> np.ndarray:
+    """The nearest weights between 0 and most that add up to 1."""
+    low, high = v.min() - most - 1, v.max() + 1
+    for _ in range(80):
+        mid = (low + high) / 2
+        low, high = (mid, high) if np.clip(v - mid, 0, most).sum() > 1 else (low, mid)
+    return np.clip(v - (low + high) / 2, 0, most)
+
+
+def largest_return(mu: np.ndarray, most: float) -> np.ndarray:
+    """Weights of largest return, between 0 and most and adding up to 1: the best symbols as far as they may go."""
+    w = np.zeros(len(mu))
+    for k in np.argsort(-mu, kind="stable"):
+        w[k] = min(most, 1 - w.sum())
+    return w
+
+
+def least_variance(cov: np.ndarray, most: float = 1.0, rounds: int = 20_000) -> np.ndarray:
+    """Weights of smallest variance, between 0 and most and adding up to 1, by accelerated projected steps."""
+    w = before = projected(np.full(len(cov), 1 / len(cov)), most)
+    pace = 1 / max(float(np.linalg.eigvalsh(cov)[-1]), 1e-300)
+    t = 1.0
+    for _ in range(rounds):
+        later = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        ahead = w + (t - 1) / later * (w - before)
+        before, w, t = w, projected(ahead - pace * (cov @ ahead), most), later
+        if np.abs(w - before).max() < 1e-14:
+            break
+        if (ahead - w) @ (w - before) > 0:  # the pace overshot
+            t = 1.0
+    return w
+
+
 def max_sharpe(mu: np.ndarray, cov: np.ndarray, most: float = 0.25, rate: float = RISK_FREE, rounds: int = 4000) -> np.ndarray | None:
-    """Weights of largest excess return per deviation, between 0 and most, adding up to 1; None where no symbol beats the rate or the bounds allow no sum of 1.
+    """Weights of largest excess return per deviation, between 0 and most, adding up to 1; None where no such weights beat the rate or the bounds allow no sum of 1.
 
     The ratio does not change with the weights' scale, so y = w / excess minimises y'Cy where the
     excess is 1; the bounds become y <= most * sum(y). Solved by projected steps on w with the
@@ -92,20 +133,12 @@ def max_sharpe(mu: np.ndarray, cov: np.ndarray, most: float = 0.25, rate: float
     """
     n = len(mu)
     excess = mu - rate
-    if n * most < 1 - 1e-12 or (np.sort(excess)[::-1][: int(np.ceil(1 / most))] > 0).sum() == 0:
+    if n * most < 1 - 1e-12:
         return None
-
-    def project(v: np.ndarray) -> np.ndarray:
-        low, high = v.min() - most - 1, v.max() + 1
-        for _ in range(80):
-            mid = (low + high) / 2
-            low, high = (mid, high) if np.clip(v - mid, 0, most).sum() > 1 else (low, mid)
-        return np.clip(v - (low + high) / 2, 0, most)
-
-    start = np.argsort(-excess, kind="stable")
-    w = np.zeros(n)
-    for k in start:
-        w[k] = min(most, 1 - w.sum())
+    w = largest_return(excess, most)
+    if excess @ w <= 0:
+        return None
+    project = lambda v: projected(v, most)
     step, ratio = 1.0, lambda w: excess @ w / np.sqrt(w @ cov @ w)
     best = ratio(w)
     for _ in range(rounds):
@@ -127,16 +160,16 @@ def max_sharpe(mu: np.ndarray, cov: np.ndarray, most: float = 0.25, rate: float
 WEIGHTS = "as_of date, symbol string, weight double, expected_return double, expected_volatility double, sharpe double"
 
 
-def weights(cov: DataFrame, views: DataFrame, most: float = 0.25, cutoff: float = 1e-4) -> DataFrame:
-    """WEIGHTS from cov (as_of, a, b, cov) and views (as_of, symbol, view, variance): symbols with a weight; dates without an answer have no row."""
+def weights(cov: DataFrame, views: DataFrame, most: float = 0.25, cutoff: float = 1e-4, least: int = 2) -> DataFrame:
+    """WEIGHTS from cov (as_of, a, b, cov) and views (as_of, symbol, view, variance): symbols with a weight; dates without an answer, or with fewer views than least, have no row."""
 
     def one(key, own: pd.DataFrame, seen: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({f.split()[0]: [] for f in WEIGHTS.split(", ")})
-        if own.empty:
+        none = pd.DataFrame({f.split()[0]: pd.Series([], dtype=object) for f in WEIGHTS.split(", ")})
+        if own.empty or len(seen) < least:
             return none
         names, c = matrix(own, "cov")
         seen = seen[seen["symbol"].isin(names)].sort_values("symbol")
-        if len(seen) < 1:
+        if seen.empty:
             return none
         at = np.array([names.index(s) for s in seen["symbol"]])
         mu, sigma = posterior(c, seen["view"].to_numpy(float), seen["variance"].to_numpy(float), at)
@@ -159,7 +192,7 @@ def _terms(day: Column) -> list[Column]:
     return out
 
 
-FORECAST = "as_of date, symbol string, last_price double, last_date date, yhat double, yhat_lower double, yhat_upper double, train_rows long"
+FORECAST = "as_of date, symbol string, last_price double, last_date date, yhat double, yhat_lower double, yhat_upper double, train_rows long, train_start date, train_annualized_return double"
 
 
 def forecasts(bars: DataFrame, grid: DataFrame, years: int = 3, horizon: int = HORIZON, least: int = 60, ridge: float = 1e-3) -> DataFrame:
@@ -169,12 +202,15 @@ def forecasts(bars: DataFrame, grid: DataFrame, years: int = 3, horizon: int = H
     system for each group. It is another estimator than the usual additive models, with the same fields and guards.
     """
     own = bars.select("symbol", "date", "close").join(F.broadcast(grid.select("as_of")), F.col("date").between(F.add_months("as_of", -12 * years), F.col("as_of")))
-    end = own.groupBy("as_of", "symbol").agg(F.max("date").alias("last_date"), F.max_by("close", "date").alias("last_price"), F.count("*").alias("n")).where(F.col("n") >= least)
+    end = own.groupBy("as_of", "symbol").agg(F.max("date").alias("last_date"), F.max_by("close", "date").alias("last_price"), F.count("*").alias("n"), F.min("date").alias("train_start"), F.min_by("close", "date").alias("first_")).where(F.col("n") >= least)
+    days = F.datediff("last_date", "train_start")
+    yearly = F.when((F.col("first_") > 0) & (F.col("last_price") > 0) & (days > 0), F.pow(F.col("last_price") / F.col("first_"), 365.0 / days) - 1).otherwise(0.0)
+    end = end.withColumn("train_annualized_return", yearly).drop("first_")
     own = own.join(end, ["as_of", "symbol"]).withColumn("day", F.datediff("date", "last_date").cast("double"))
     x = _terms(F.col("day"))
     m = len(x)
     sums = [F.sum(x[i] * x[j]).alias(f"xx{i}_{j}") for i in range(m) for j in range(i, m)] + [F.sum(x[i] * F.col("close")).alias(f"xy{i}") for i in range(m)]
-    own = own.groupBy("as_of", "symbol", "last_date", "last_price", "n").agg(*sums, F.sum(F.col("close") * F.col("close")).alias("yy"))
+    own = own.groupBy("as_of", "symbol", "last_date", "last_price", "n", "train_start", "train_annualized_return").agg(*sums, F.sum(F.col("close") * F.col("close")).alias("yy"))
     ahead = [1.0, horizon / YEAR] + [f(2 * np.pi * k * horizon / YEAR) for k in range(1, ORDER + 1) for f in (np.sin, np.cos)]
 
     def solve(batches):
@@ -190,7 +226,7 @@ def forecasts(bars: DataFrame, grid: DataFrame, years: int = 3, horizon: int = H
                 w = np.linalg.lstsq(a + keep, b, rcond=None)[0]
                 rest = max(r["yy"] - 2 * w @ b + w @ a @ w, 0.0)
                 y, s = float(np.dot(ahead, w)), Z80 * float(np.sqrt(rest / max(r["n"] - m, 1)))
-                out.append((r["as_of"], r["symbol"], r["last_price"], r["last_date"], y, y - s, y + s, r["n"]))
+                out.append((r["as_of"], r["symbol"], r["last_price"], r["last_date"], y, y - s, y + s, r["n"], r["train_start"], r["train_annualized_return"]))
             yield pd.DataFrame(out, columns=[f.split()[0] for f in FORECAST.split(", ")])
 
     return own.mapInPandas(solve, FORECAST)
@@ -209,7 +245,7 @@ def confidence(lower: Column, upper: Column, middle: Column) -> Column:
 def signals(forecast: DataFrame) -> DataFrame:
     """The forecast's record: class, confidence, trend and rounded values."""
     two = lambda c: F.bround(c, 2).alias(c)
-    return forecast.select("as_of", "symbol", two("last_price"), "last_date", signal_class(F.col("last_price"), F.col("yhat")).alias("signal"), confidence(F.col("yhat_lower"), F.col("yhat_upper"), F.col("yhat")).alias("confidence"), F.bround("yhat", 2).alias("target_30d"), F.when(F.col("yhat") > F.col("last_price"), "UP").otherwise("DOWN").alias("trend"), two("yhat"), two("yhat_lower"), two("yhat_upper"), "train_rows")
+    return forecast.select("as_of", "symbol", two("last_price"), "last_date", signal_class(F.col("last_price"), F.col("yhat")).alias("signal"), confidence(F.col("yhat_lower"), F.col("yhat_upper"), F.col("yhat")).alias("confidence"), F.bround("yhat", 2).alias("target_30d"), F.when(F.col("yhat") > F.col("last_price"), "UP").otherwise("DOWN").alias("trend"), two("yhat"), two("yhat_lower"), two("yhat_upper"), "train_start", F.col("last_date").alias("train_end"), "train_rows", F.bround("train_annualized_return", 4).alias("train_annualized_return"))
 
 
 def concentration(classes: DataFrame, most: float = 0.7) -> DataFrame:

@@ -6,11 +6,11 @@ Texts are common SQL; `spark()` and `duck()` turn the few marks into each dialec
 from __future__ import annotations
 
 import re
-import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sources.scratch import scratch_folder  # noqa: F401
+
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 ROLES = {
@@ -81,13 +81,3 @@ def run(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     for t in used:
         text = re.sub(rf"((?:FROM|JOIN)\s+){t}\b", rf"\1{{{t}}}", text)
     return spark.sql(text, **used)
-
-
-def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share; below a temporary one only where none is set and all runs on one machine."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        base = f"file://{tempfile.mkdtemp(prefix='spark-')}"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
