@@ -138,3 +138,56 @@ ORACLE = {
       SELECT portfolio, count(*) AS n, round(arg_max(level, date) / 100 - 1 + 1.23e-8, 6) AS performance, round(stddev_samp(a) * sqrt(252) + 1.23e-8, 6) AS volatility, round((avg(a) * 252 - 0.03) / (stddev_samp(a) * sqrt(252)) + 1.23e-8, 6) AS sharpe, round(min(drawdown) + 1.23e-8, 6) AS max_drawdown,
         round(arg_max(index_level, date) / 100 - 1 + 1.23e-8, 6) AS index_performance, round(stddev_samp(b) * sqrt(252) + 1.23e-8, 6) AS index_volatility, round((avg(b) * 252 - 0.03) / (stddev_samp(b) * sqrt(252)) + 1.23e-8, 6) AS index_sharpe, round(min(index_drawdown) + 1.23e-8, 6) AS index_max_drawdown FROM r GROUP BY portfolio""",
 }
+
+
+def merged_increments(spark, sf):
+    """Bars stored by year: all up to 1999, then the rest with corrections of older days, twice; changes are worked out anew where they may differ."""
+    from tidemark.sources import parted
+    from tidemark.sources.scratch import scratch_folder
+
+    own = stored_bars(spark, sf).select("symbol", "date", F.round(F.col("close") + 1.23e-6, 4).alias("close"))
+    table = parted.PartedTable(spark, scratch_folder(spark, "parted"), F.year("date"), derive=parted.changes)
+    table.merge(own.where("year(date) < 2000"))
+    late = own.where("year(date) >= 2000").unionByName(own.where("month(date) = 12 and dayofmonth(date) > 20 and year(date) in (1996, 1998)").withColumn("close", F.round(F.col("close") * 2, 4)))
+    for _ in range(2):
+        table.merge(late)
+    return table.read().select("symbol", "date", "close", "change")
+
+
+def loads_by_customer(spark, sf):
+    """Orders as files of customers: a customer with an order of small worth or in an open state of the last priority stays out whole."""
+    from tidemark.sources import loads
+
+    got = loads.by_file(_table(spark, sf, "orders").withColumn("file", F.col("o_custkey").cast("string")), {"small": F.col("o_totalprice") < 2000, "open": (F.col("o_orderstatus") == "O") & F.col("o_orderpriority").startswith("5")}, most=1)
+    kept = got.accepted.groupBy("file").agg(F.count("*").alias("loaded"))
+    return got.report.join(kept, "file", "left").select("file", "rows", "faulty", "first_fault", F.col("accepted").cast("int").alias("accepted"), F.coalesce("loaded", F.lit(0)).alias("loaded"))
+
+
+def first_documents(spark, sf):
+    """The documents as a stream: the first of each source and language, which no later one replaces."""
+    from tidemark.sources.scratch import scratch_folder
+    from tidemark.streaming import ingest
+
+    rows = _table(spark, sf, "documents").select(F.concat_ws("/", "source", "lang").alias("id"), "doc_id")
+    path = scratch_folder(spark, "documents")
+    rows.write.parquet(path)
+    before = {k: spark.conf.get(k, None) for k in ingest.ROCKS}
+    for k, v in ingest.ROCKS.items():
+        spark.conf.set(k, v)
+    try:
+        stream = spark.readStream.schema(rows.schema).parquet(path)
+        out = scratch_folder(spark, "first")
+        ingest.first_writes(stream, "id", ["doc_id"]).writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch_folder(spark, "first-state")).trigger(availableNow=True).start().awaitTermination()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return spark.read.schema("id string, doc_id long").parquet(out)
+
+
+QUERIES |= {f.__name__: f for f in (merged_increments, loads_by_customer, first_documents)}
+ORACLE["merged_increments"] = f"""WITH {BARS}, b AS (SELECT symbol, date, CASE WHEN month(date) = 12 AND day(date) > 20 AND year(date) IN (1996, 1998) THEN round(round(close + 1.23e-6, 4) * 2, 4) ELSE round(close + 1.23e-6, 4) END AS close FROM bars)
+  SELECT symbol, date, close, round(100 * (close / lag(close) OVER (PARTITION BY symbol ORDER BY date) - 1), 2) AS change FROM b"""
+ORACLE["loads_by_customer"] = """WITH o AS (SELECT CAST(o_custkey AS VARCHAR) AS file, CASE WHEN o_totalprice < 2000 THEN 'small' WHEN o_orderstatus = 'O' AND o_orderpriority LIKE '5%' THEN 'open' END AS fault FROM orders),
+  r AS (SELECT file, count(*) AS rows, count(fault) AS faulty, min(fault) AS first_fault FROM o GROUP BY file)
+  SELECT file, rows, faulty, first_fault, CAST(faulty <= 1 AS INT) AS accepted, CASE WHEN faulty <= 1 THEN rows - faulty ELSE 0 END AS loaded FROM r"""
+ORACLE["first_documents"] = "SELECT concat_ws('/', source, lang) AS id, min(doc_id) AS doc_id FROM documents GROUP BY 1"

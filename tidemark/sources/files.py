@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import french
@@ -17,15 +19,50 @@ def text_table(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
     return spark.read.csv(path, sep=sep, header=True, inferSchema=False)
 
 
+def parted_line(text: Column, sep: str) -> Column:
+    """The fields of a line, without their quotes; empty ones are null."""
+    pieces = F.regexp_extract_all(F.concat(F.lit(sep), text), F.lit(f'{re.escape(sep)}("(?:[^"]|"")*"|[^{re.escape(sep)}]*)'), F.lit(1))
+    plain = lambda x: F.when(x.startswith('"') & x.endswith('"') & (F.length(x) > 1), F.replace(F.substr(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).otherwise(x)
+    return F.transform(pieces, lambda x: F.nullif(plain(x), F.lit("")))
+
+
+def delimited(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
+    """file, line, fields (text by the name that the file's own header gives), extra: one row for each line of all files that is not blank.
+
+    One scan: a file is read whole (these files hold one symbol's days), its first line is its
+    header, so files may order their columns as they like or lack some. A name that comes twice
+    counts where it comes first; line breaks within quotes are not read. extra: more fields than the header has.
+    """
+    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.split(F.translate("value", "\ufeff", ""), r"\r\n|\n|\r").alias("lines"))
+    own = raw.select("file", F.transform(parted_line(F.get("lines", F.lit(0)), sep), lambda x: F.btrim(x)).alias("names"), F.posexplode("lines").alias("at", "text")).where("at > 0 and trim(text) <> ''")
+    own = own.select("file", (F.col("at") + 1).alias("line"), "names", parted_line(F.col("text"), sep).alias("values"))
+    count = lambda c: F.coalesce(F.array_max(F.transform(c, lambda x, i: F.when(x.isNotNull(), i))), F.lit(-1))
+    # Each named place once; a line may be shorter than its header.
+    first = F.filter(F.sequence(F.lit(0), F.greatest(count("names"), F.lit(0))), lambda i: F.get("names", i).isNotNull() & (F.array_position("names", F.get("names", i)) == i + 1))
+    return own.select("file", "line", F.map_from_arrays(F.transform(first, lambda i: F.get("names", i)), F.transform(first, lambda i: F.get("values", i))).alias("fields"), (count("values") > count("names")).alias("extra"))
+
+
+def field(name: str) -> Column:
+    return F.try_element_at("fields", F.lit(name))
+
+
+def any_date(text: Column) -> Column:
+    return F.coalesce(F.try_to_date(text, "yyyy-MM-dd"), F.try_to_date(text, "dd/MM/yyyy"))
+
+
+def bars_of(lines: DataFrame) -> DataFrame:
+    """Bars of lines that `delimited` gives."""
+    number = lambda name: french.clean_number(field(name))
+    own = lines.select(F.regexp_replace("file", r"_historique\.csv.*$", "").alias("symbol_key"), any_date(field("Date")).alias("date"), number("Ouverture").alias("open"), number("Plus_Haut").alias("high"), number("Plus_Bas").alias("low"), number("Cloture").alias("close"), F.coalesce(number("Volume_Titres"), F.lit(0.0)).alias("volume"), number("Volume_FCFA").alias("turnover"), number("Variation_Pct").alias("variation"))
+    return own.where("date is not null and close is not null")
+
+
 def bars(spark: SparkSession, path: str) -> DataFrame:
-    """symbol_key (from the file's name), date, open, high, low, close, volume, turnover, variation.
+    """symbol_key (from the file's name), date, open, high, low, close, volume, turnover, variation; columns go by each file's own header.
 
     Rows without a date or a close are dropped; a volume that is no number counts as 0.
     """
-    raw = text_table(spark, path).withColumn("file", F.col("_metadata.file_name"))
-    number = lambda name: french.clean_number(F.col(name))
-    own = raw.select(F.regexp_replace("file", r"_historique\.csv.*$", "").alias("symbol_key"), F.expr("coalesce(try_to_date(Date, 'yyyy-MM-dd'), try_to_date(Date, 'dd/MM/yyyy'))").alias("date"), number("Ouverture").alias("open"), number("Plus_Haut").alias("high"), number("Plus_Bas").alias("low"), number("Cloture").alias("close"), F.coalesce(number("Volume_Titres"), F.lit(0.0)).alias("volume"), number("Volume_FCFA").alias("turnover"), number("Variation_Pct").alias("variation"))
-    return own.where("date is not null and close is not null")
+    return bars_of(delimited(spark, path))
 
 
 def documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
