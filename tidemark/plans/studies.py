@@ -191,3 +191,80 @@ ORACLE["loads_by_customer"] = """WITH o AS (SELECT CAST(o_custkey AS VARCHAR) AS
   r AS (SELECT file, count(*) AS rows, count(fault) AS faulty, min(fault) AS first_fault FROM o GROUP BY file)
   SELECT file, rows, faulty, first_fault, CAST(faulty <= 1 AS INT) AS accepted, CASE WHEN faulty <= 1 THEN rows - faulty ELSE 0 END AS loaded FROM r"""
 ORACLE["first_documents"] = "SELECT concat_ws('/', source, lang) AS id, min(doc_id) AS doc_id FROM documents GROUP BY 1"
+
+
+def security_detail(spark, sf):
+    """Quote, profile, years and last bars of each brand, its arrays as texts."""
+    from tidemark.operators import detail
+
+    own = stored_bars(spark, sf)
+    part = _table(spark, sf, "part")
+    profiles = part.groupBy(F.col("p_brand").alias("symbol")).agg(F.count("*").alias("shares"), F.min("p_type").alias("sector"))
+    years = own.groupBy("symbol", F.year("date").alias("exercice")).agg(F.sum("volume").alias("volume"))
+    next_sale = _table(spark, sf, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey")).select(F.col("p_brand").alias("symbol"), F.col("l_shipdate").cast("date").alias("ex_date"), F.col("l_quantity").cast("long").alias("amount"))
+    got = detail.security_details(own.select("symbol", "date", F.round(F.col("close") + 1.23e-6, 2).alias("close")), profiles, None, years, next_sale, F.to_date(F.lit("1999-12-31")), n=5)
+    text = lambda array, item: F.array_join(F.transform(array, item), ",")
+    two = lambda c: c.cast("decimal(18,2)").cast("string")
+    return got.select("symbol", F.col("quote.date").alias("date"), "quote.close", F.round(F.col("quote.change") + 1.23e-8, 6).alias("change"), "profile.shares", "profile.sector", text("figures", lambda x: F.concat_ws(":", x["exercice"], x["volume"])).alias("years"), F.col("next_dividend.ex_date").alias("next_date"), F.col("next_dividend.amount").alias("next_amount"), text("history", lambda x: F.concat_ws(":", x["date"].cast("string"), two(x["close"]))).alias("history"))
+
+
+def suppliers_by_name(spark, sf):
+    """The place of each supplier in its nation by a name with accents and capitals, in the language's order."""
+    from tidemark.operators import detail
+
+    s = _table(spark, sf, "supplier")
+    k = F.col("s_suppkey")
+    name = F.concat(F.when(k % 4 == 0, "é").when(k % 4 == 1, "E").when(k % 4 == 2, "e").otherwise("F"), (k % 7).cast("string"))
+    return detail.ranked_by_name(s.select("s_suppkey", "s_nationkey", name.alias("name")).withColumn("name", F.concat("name", F.lit("-"), F.lpad(F.col("s_suppkey").cast("string"), 8, "0"))), ["s_nationkey"]).select("s_suppkey", "s_nationkey", "name", "place")
+
+
+def restricted_universe(spark, sf):
+    """Liquid brands that a portfolio holds, and, as no portfolio holds anything, all of them."""
+    from tidemark.operators import detail
+
+    own = stored_bars(spark, sf).groupBy("symbol").agg(F.count("*").alias("n"))
+    held = _table(spark, sf, "part").where("p_brand < 'Brand#2'").select(F.col("p_brand").alias("symbol"))
+    return detail.restricted(own, held).withColumn("set", F.lit("held")).unionByName(detail.restricted(own, held.limit(0)).withColumn("set", F.lit("all")))
+
+
+def key_overlap(spark, sf):
+    """Customers and suppliers by number: which numbers both have."""
+    from tidemark.operators import detail
+
+    return detail.overlap(_table(spark, sf, "orders").select(F.col("o_custkey").alias("symbol")), _table(spark, sf, "supplier").select((F.col("s_suppkey") * 3).alias("symbol"))).withColumnRenamed("symbol", "key")
+
+
+def expected_dividends(spark, sf):
+    """Held brands and the next sale of each as its dividend."""
+    from tidemark.operators import detail
+
+    plan = _table(spark, sf, "part").groupBy(F.col("p_brand").alias("symbol")).agg(F.sum("p_size").alias("quantity"))
+    sales = _table(spark, sf, "lineitem").join(_table(spark, sf, "part").where("p_brand < 'Brand#22'"), F.col("l_partkey") == F.col("p_partkey")).where("l_shipdate >= '1999-06-01'").select(F.col("p_brand").alias("symbol"), F.col("l_shipdate").cast("date").alias("ex_date"), F.col("l_quantity").cast("long").alias("amount"))
+    return detail.expected_income(plan, sales)
+
+
+def page_titles(spark, sf):
+    """Titles of the articles; in these pages the heading says it."""
+    from tidemark.operators import pages
+
+    return pages.articles(_table(spark, sf, "pages").select(F.col("page_id").alias("id"), "html")).select("id", "title")
+
+
+QUERIES |= {f.__name__: f for f in (security_detail, suppliers_by_name, restricted_universe, key_overlap, expected_dividends, page_titles)}
+ORACLE |= {
+    "security_detail": f"""WITH {BARS}, b AS (SELECT symbol, date, round(close + 1.23e-6, 2) AS close, volume FROM bars),
+      c AS (SELECT *, close / lag(close) OVER (PARTITION BY symbol ORDER BY date) - 1 AS change, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS k FROM b),
+      p AS (SELECT p_brand AS symbol, count(*) AS shares, min(p_type) AS sector FROM part GROUP BY 1),
+      y AS (SELECT symbol, string_agg(y || ':' || v, ',' ORDER BY y) AS years FROM (SELECT symbol, year(date) AS y, CAST(sum(volume) AS BIGINT) AS v FROM b GROUP BY 1, 2) GROUP BY symbol),
+      n AS (SELECT p_brand AS symbol, min((CAST(l_shipdate AS DATE), CAST(l_quantity AS BIGINT))) AS n FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_shipdate >= DATE '1999-12-31' GROUP BY 1),
+      h AS (SELECT symbol, string_agg(date || ':' || CAST(close AS DECIMAL(18, 2)), ',' ORDER BY date) AS history FROM c WHERE k <= 5 GROUP BY symbol)
+      SELECT p.symbol, c.date, c.close, round(c.change + 1.23e-8, 6) AS change, p.shares, p.sector, y.years, n.n[1] AS next_date, n.n[2] AS next_amount, h.history FROM p LEFT JOIN c ON p.symbol = c.symbol AND c.k = 1 LEFT JOIN y ON p.symbol = y.symbol LEFT JOIN n ON p.symbol = n.symbol LEFT JOIN h ON p.symbol = h.symbol""",
+    "suppliers_by_name": """WITH s AS (SELECT s_suppkey, s_nationkey, CASE s_suppkey % 4 WHEN 0 THEN 'é' WHEN 1 THEN 'E' WHEN 2 THEN 'e' ELSE 'F' END || (s_suppkey % 7) || '-' || lpad(CAST(s_suppkey AS VARCHAR), 8, '0') AS name FROM supplier)
+      SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY lower(strip_accents(name)), name) AS place FROM s""",
+    "restricted_universe": f"""WITH {BARS}, b AS (SELECT symbol, count(*) AS n FROM bars GROUP BY symbol) SELECT symbol, n, 'held' AS set FROM b WHERE symbol IN (SELECT p_brand FROM part WHERE p_brand < 'Brand#2') UNION ALL SELECT symbol, n, 'all' FROM b""",
+    "key_overlap": "SELECT coalesce(a.k, b.k) AS key, CASE WHEN a.k IS NULL THEN 'right' WHEN b.k IS NULL THEN 'left' ELSE 'both' END AS side FROM (SELECT DISTINCT o_custkey AS k FROM orders) a FULL JOIN (SELECT DISTINCT s_suppkey * 3 AS k FROM supplier) b ON a.k = b.k",
+    "expected_dividends": """WITH q AS (SELECT p_brand AS symbol, CAST(sum(p_size) AS BIGINT) AS quantity FROM part GROUP BY 1),
+      f AS (SELECT p_brand AS symbol, CAST(l_shipdate AS DATE) AS ex_date, CAST(l_quantity AS BIGINT) AS amount, row_number() OVER (PARTITION BY p_brand ORDER BY CAST(l_shipdate AS DATE), l_quantity DESC) AS k FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_brand < 'Brand#22' AND l_shipdate >= DATE '1999-06-01')
+      SELECT q.symbol, quantity, ex_date, amount, quantity * amount AS income FROM q LEFT JOIN f ON q.symbol = f.symbol AND k = 1""",
+    "page_titles": r"SELECT page_id AS id, trim(replace(regexp_extract(html, '(?is)<h1[^>]*>\s*([^<]*)', 1), '&amp;', '&')) AS title FROM pages WHERE html ILIKE '%<h1%'",
+}
