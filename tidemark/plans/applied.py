@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import french
 from tidemark.operators import allocation, bars, dividends, news, portfolio
+from tidemark.plans import roles
 from tidemark.sources import sinks
 
 # What the news query looks for.
@@ -21,9 +22,7 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def daily_bars(spark: SparkSession, sf: str) -> DataFrame:
     """symbol, date, high, low, close, volume of the brands; trades of a day are ordered by their keys."""
-    own = _table(spark, sf, "lineitem").join(_table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(_table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    own = own.select(F.col("p_brand").alias("symbol"), F.col("o_orderdate").cast("date").alias("date"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"), F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity").alias("seq"), F.col("l_quantity").cast("long").alias("quantity"))
-    return own.groupBy("symbol", "date").agg(F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", "seq").alias("close"), F.sum("quantity").alias("volume"))
+    return roles.stored_bars(spark, sf).select("symbol", "date", "high", "low", "close", "volume")
 
 
 def percent_changes(spark, sf):

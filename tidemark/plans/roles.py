@@ -15,7 +15,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 ROLES = {
     "trades": """SELECT p_brand AS symbol, CAST(o_orderdate AS DATE) AS date, l_extendedprice / l_quantity AS price, CAST(l_quantity AS BIGINT) AS quantity, l_returnflag AS flag,
-      concat(lpad(CAST(l_orderkey AS STRING), 12, '0'), lpad(CAST(l_linenumber AS STRING), 4, '0'), lpad(CAST(l_partkey AS STRING), 12, '0'), lpad(CAST(l_suppkey AS STRING), 12, '0'), lpad(CAST(CAST(l_extendedprice * 100 AS BIGINT) AS STRING), 12, '0'), lpad(CAST(CAST(l_quantity AS BIGINT) AS STRING), 4, '0')) AS seq
+      (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) AS seq
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey""",
     "bars": """SELECT symbol, date, min_by(price, seq) AS open, max(price) AS high, min(price) AS low, max_by(price, seq) AS close, sum(quantity) AS volume,
       floor(CAST(sum(quantity) AS DOUBLE) * (max(price) + min(price)) / 2 + 0.5) AS turnover FROM trades GROUP BY symbol, date""",
@@ -37,13 +37,13 @@ ROLES = {
 }
 
 
-def roles_of(sql: str) -> list[str]:
-    """The roles that the text mentions, with theirs, in order of need."""
+def roles_of(sql: str, stored: tuple[str, ...] = ()) -> list[str]:
+    """The roles that the text mentions, with theirs, in order of need; those that are stored count as tables."""
     out: list[str] = []
 
     def need(text: str) -> None:
         for name in ROLES:
-            if re.search(rf"\b{name}\b", text) and name not in out:
+            if name not in stored and re.search(rf"\b{name}\b", text) and name not in out:
                 need(re.sub(rf"\b{name}\b", "", ROLES[name]))
                 if name not in out:
                     out.append(name)
@@ -52,8 +52,8 @@ def roles_of(sql: str) -> list[str]:
     return out
 
 
-def whole(sql: str) -> str:
-    own = ",\n".join(f"{name} AS ({ROLES[name]})" for name in roles_of(sql))
+def whole(sql: str, stored: tuple[str, ...] = ()) -> str:
+    own = ",\n".join(f"{name} AS ({ROLES[name]})" for name in roles_of(sql, stored))
     rest = sql.strip()
     if rest.upper().startswith("WITH "):
         return f"WITH {own},\n{rest[5:]}" if own else rest
@@ -68,16 +68,44 @@ def duck(sql: str) -> str:
     return re.sub(r"BACK\(([^;]*);([^)]*)\)", r"CAST(\1 - INTERVAL (\2) DAY AS DATE)", text)
 
 
-def spark_text(sql: str) -> str:
-    text = re.sub(r"DAYS\(([^;]*);([^)]*)\)", r"datediff(\1, \2)", whole(sql))
+def spark_text(sql: str, stored: tuple[str, ...] = ()) -> str:
+    text = re.sub(r"DAYS\(([^;]*);([^)]*)\)", r"datediff(\1, \2)", whole(sql, stored))
     text = re.sub(r"REALL\(([^;]*);('[^']*');('[^']*')\)", r"regexp_replace(\1, \2, \3)", text)
     return re.sub(r"BACK\(([^;]*);([^)]*)\)", r"date_sub(\1, CAST(\2 AS INT))", text)
 
 
-def run(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """The query over the tables that it mentions; frames are passed by name, no views are left behind."""
-    text = spark_text(sql)
-    used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if re.search(rf"(FROM|JOIN)\s+{t}\b", text)}
+#: Folders of stored bars by application, input and the input's state.
+_stored: dict[tuple, str] = {}
+
+
+def stored_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bars of an input, written once for all queries of a session, and anew when the input's files have changed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.sc().hadoopConfiguration()
+    state = []
+    for t in ("lineitem", "orders", "part"):
+        at = path(f"{sf_dir}/{t}.parquet")
+        fs = at.getFileSystem(conf)
+        size = fs.getContentSummary(at)
+        state.append((fs.getFileStatus(at).getModificationTime(), size.getLength(), size.getFileCount()))
+    key = (spark.sparkContext.applicationId, sf_dir, *state)
+    known = _stored.get(key)
+    if known is None or not path(f"{known}/_SUCCESS").getFileSystem(conf).exists(path(f"{known}/_SUCCESS")):
+        known = scratch_folder(spark, "bars")
+        filled(spark, sf_dir, spark_text("SELECT * FROM bars")).write.parquet(known)
+        _stored[key] = known
+    return spark.read.schema("symbol string, date date, open double, high double, low double, close double, volume long, turnover long").parquet(known)
+
+
+def filled(spark: SparkSession, sf_dir: str, text: str, **more: DataFrame) -> DataFrame:
+    """The text's rows over the tables that it mentions; frames are passed by name, no views are left behind."""
+    used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if re.search(rf"(FROM|JOIN)\s+{t}\b", text)} | more
     for t in used:
         text = re.sub(rf"((?:FROM|JOIN)\s+){t}\b", rf"\1{{{t}}}", text)
     return spark.sql(text, **used)
+
+
+def run(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    """The query over the tables and, where it needs them, the stored bars."""
+    text = spark_text(sql, ("bars",))
+    return filled(spark, sf_dir, text, **({"bars": stored_bars(spark, sf_dir)} if re.search(r"(FROM|JOIN)\s+bars\b", text) else {}))

@@ -10,11 +10,6 @@ from tidemark.plans.applied import BARS, _table, daily_bars
 from tidemark.sources.scratch import written
 
 
-def stored_bars(spark: SparkSession, sf: str) -> DataFrame:
-    """The bars, computed once for all steps of a query."""
-    return written(daily_bars(spark, sf), "bars")
-
-
 def month_closes(own: DataFrame) -> DataFrame:
     return own.groupBy("symbol", F.trunc("date", "month").cast("date").alias("date")).agg(F.max_by("close", "date").alias("close"))
 
@@ -25,13 +20,13 @@ def direction_features(spark, sf):
 
 
 def direction_parts(spark, sf):
-    rows = direction.features(stored_bars(spark, sf), horizon=5)
+    rows = direction.features(daily_bars(spark, sf), horizon=5)
     return direction.split(rows).groupBy("symbol", "part").agg(F.count("*").alias("n"), F.min("date").alias("first"), F.max("date").alias("last"), F.max("label_date").alias("last_label"))
 
 
 def direction_baseline(spark, sf):
     """The measures of the rule that a rise over five rows goes on, over the test rows."""
-    rows = direction.split(direction.features(stored_bars(spark, sf), horizon=5)).where("part = 'test'")
+    rows = direction.split(direction.features(daily_bars(spark, sf), horizon=5)).where("part = 'test'")
     got = direction.measured(rows.withColumn("predicted", (F.round("ret5", 9) > 0).cast("int")))
     return got.select("n", *(F.round(c, 9).alias(c) for c in ("accuracy", "f1_up", "f1_down", "f1_macro")))
 
@@ -61,7 +56,7 @@ def direction_measures(spark, sf):
 
 
 def holding_returns(spark, sf):
-    own = stored_bars(spark, sf).where("dayofmonth(date) % 3 = 0").select("symbol", "date", "close")  # gaps, so that closes are carried
+    own = daily_bars(spark, sf).where("dayofmonth(date) % 3 = 0").select("symbol", "date", "close")  # gaps, so that closes are carried
     from tidemark.operators import bars
 
     panel = bars.filled(own, own.select("date").distinct())
@@ -75,7 +70,7 @@ def walk_forward_lineage(spark, sf):
 
 
 def signals_document(spark, sf):
-    own = stored_bars(spark, sf)
+    own = daily_bars(spark, sf)
     return lineage.signals_document(own, own.agg(F.max("date").alias("as_of")))
 
 
@@ -89,7 +84,7 @@ def frontier_cloud(spark, sf):
 
 
 def _baskets(spark, sf):
-    own = stored_bars(spark, sf)
+    own = daily_bars(spark, sf)
     baskets = own.where("dayofmonth(date) % 4 > 0").groupBy(F.substring("symbol", 1, 7).alias("portfolio"), "date").agg(F.sum(F.round("close", 6).cast("decimal(20,6)")).cast("double").alias("value"))
     index = own.where("dayofmonth(date) % 5 > 0").groupBy("date").agg(F.sum(F.round("close", 6).cast("decimal(20,6)")).cast("double").alias("value"))
     return lineage.against_index(baskets, index)
@@ -145,7 +140,7 @@ def merged_increments(spark, sf):
     from tidemark.sources import parted
     from tidemark.sources.scratch import scratch_folder
 
-    own = stored_bars(spark, sf).select("symbol", "date", F.round(F.col("close") + 1.23e-6, 4).alias("close"))
+    own = daily_bars(spark, sf).select("symbol", "date", F.round(F.col("close") + 1.23e-6, 4).alias("close"))
     table = parted.PartedTable(spark, scratch_folder(spark, "parted"), F.year("date"), derive=parted.changes)
     table.merge(own.where("year(date) < 2000"))
     late = own.where("year(date) >= 2000").unionByName(own.where("month(date) = 12 and dayofmonth(date) > 20 and year(date) in (1996, 1998)").withColumn("close", F.round(F.col("close") * 2, 4)))
@@ -197,7 +192,7 @@ def security_detail(spark, sf):
     """Quote, profile, years and last bars of each brand, its arrays as texts."""
     from tidemark.operators import detail
 
-    own = stored_bars(spark, sf)
+    own = daily_bars(spark, sf)
     part = _table(spark, sf, "part")
     profiles = part.groupBy(F.col("p_brand").alias("symbol")).agg(F.count("*").alias("shares"), F.min("p_type").alias("sector"))
     years = own.groupBy("symbol", F.year("date").alias("exercice")).agg(F.sum("volume").alias("volume"))
@@ -222,7 +217,7 @@ def restricted_universe(spark, sf):
     """Liquid brands that a portfolio holds, and, as no portfolio holds anything, all of them."""
     from tidemark.operators import detail
 
-    own = stored_bars(spark, sf).groupBy("symbol").agg(F.count("*").alias("n"))
+    own = daily_bars(spark, sf).groupBy("symbol").agg(F.count("*").alias("n"))
     held = _table(spark, sf, "part").where("p_brand < 'Brand#2'").select(F.col("p_brand").alias("symbol"))
     return detail.restricted(own, held).withColumn("set", F.lit("held")).unionByName(detail.restricted(own, held.limit(0)).withColumn("set", F.lit("all")))
 
