@@ -92,13 +92,19 @@ def replay(rows, state: dict, rate: float = RATE) -> list[tuple]:
     return out
 
 
+def rank() -> Column:
+    """Of transactions with the same seq money comes in first: deposits, sales, purchases, withdrawals, others."""
+    return F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, ("DEPOSIT", "SELL", "BUY", "WITHDRAW"))), F.col("type")), F.lit(0)), F.lit(9))
+
+
 def replayed(ledger: DataFrame, rate: float = RATE) -> DataFrame:
-    """REPLAYED for a ledger (portfolio, seq, type, symbol, quantity, price): a portfolio's transactions in order of seq, streamed through its task."""
+    """REPLAYED for a ledger (portfolio, seq, type, symbol, quantity, price): a portfolio's transactions in order of seq (and rank), streamed through its task. Rows without a portfolio are one."""
     order = ["portfolio", "seq", "type", "symbol", "quantity", "price"]
+    none = object()  # null is a portfolio like any other
     columns = [f.split()[0] for f in REPLAYED.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, state = None, {}
+        at, state = none, {}
         for batch in batches:
             rows = batch.astype(object).where(batch.notna(), None).itertuples(index=False, name=None)
             out = []
@@ -108,5 +114,5 @@ def replayed(ledger: DataFrame, rate: float = RATE) -> DataFrame:
                 out += replay([row], state, rate)
             yield pd.DataFrame(out, columns=columns)
 
-    own = ledger.select(*order).repartition("portfolio").sortWithinPartitions(*order)
+    own = ledger.select(*order).repartition("portfolio").sortWithinPartitions("portfolio", "seq", rank(), *order[2:])
     return own.mapInPandas(run, REPLAYED)

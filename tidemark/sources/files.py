@@ -34,7 +34,9 @@ def delimited(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
     counts where it comes first; line breaks within quotes are not read. extra: more fields than the header has.
     """
     raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.split(F.translate("value", "\ufeff", ""), r"\r\n|\n|\r").alias("lines"))
-    own = raw.select("file", F.transform(parted_line(F.get("lines", F.lit(0)), sep), lambda x: F.btrim(x)).alias("names"), F.posexplode("lines").alias("at", "text")).where("at > 0 and trim(text) <> ''")
+    # Names first: what stands beside posexplode is worked out for each line, and would keep the whole file with it.
+    raw = raw.select("file", F.transform(parted_line(F.get("lines", F.lit(0)), sep), lambda x: F.btrim(x)).alias("names"), "lines")
+    own = raw.select("file", "names", F.posexplode("lines").alias("at", "text")).where("at > 0 and trim(text) <> ''")
     own = own.select("file", (F.col("at") + 1).alias("line"), "names", parted_line(F.col("text"), sep).alias("values"))
     count = lambda c: F.coalesce(F.array_max(F.transform(c, lambda x, i: F.when(x.isNotNull(), i))), F.lit(-1))
     # Each named place once; a line may be shorter than its header.
@@ -65,9 +67,9 @@ def bars(spark: SparkSession, path: str) -> DataFrame:
     return bars_of(delimited(spark, path))
 
 
-def documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """One row for each file; file says which. What does not fit the schema is null."""
-    return spark.read.json(path, schema=schema, multiLine=True).withColumn("file", F.col("_metadata.file_name"))
+def documents(spark: SparkSession, path: str, schema: str, lines: bool = False) -> DataFrame:
+    """One row for each file, or for each line of files that hold a document a line; file says which. What does not fit the schema is null."""
+    return spark.read.json(path, schema=schema, multiLine=not lines).withColumn("file", F.col("_metadata.file_name"))
 
 
 def profiles(spark: SparkSession, path: str) -> DataFrame:
@@ -93,9 +95,9 @@ def upcoming_dividends(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(get("Ticker").alias("ticker"), get("Nom").alias("name"), french.clean_number(get("Montant_Net")).alias("amount"), french.clean_number(get("Rendement_Pct")).alias("yield_pct"), date("Date_Detachement").alias("ex_date"), date("Date_Paiement").alias("pay_date"))
 
 
-def keyed_documents(spark: SparkSession, path: str, field: str, value_type: str) -> DataFrame:
+def keyed_documents(spark: SparkSession, path: str, field: str, value_type: str, lines: bool = False) -> DataFrame:
     """key, value of a map that a document holds under a field: signals or an allocation by ticker."""
-    return documents(spark, path, f"`{field}` map<string, {value_type}>").select(F.explode(field).alias("key", "value"))
+    return documents(spark, path, f"`{field}` map<string, {value_type}>", lines).select(F.explode(field).alias("key", "value"))
 
 
 def signals(spark: SparkSession, path: str) -> DataFrame:

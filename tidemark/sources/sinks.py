@@ -6,7 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+
+from tidemark.sources.versions import Versions
 
 
 def merged(target: DataFrame | None, source: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
@@ -14,7 +15,8 @@ def merged(target: DataFrame | None, source: DataFrame, keys: list[str], order:
     own = source.withColumn("given_", F.lit(1))
     if target is not None:
         own = target.withColumn("given_", F.lit(0)).unionByName(own, allowMissingColumns=True)
-    names = [c for c in own.columns if c not in ("given_", *keys)]
+    # Maps have no order; their texts do.
+    names = [F.to_json(F.struct(c)) if "map<" in t else F.col(c) for c, t in own.dtypes if c not in ("given_", *keys)]
     best = Window.partitionBy(*keys).orderBy(F.desc("given_"), *([F.desc(order)] if order else []), *(F.desc(c) for c in names))
     return own.withColumn("rank_", F.row_number().over(best)).where("rank_ = 1").drop("rank_", "given_")
 
@@ -34,35 +36,31 @@ def updated(target: DataFrame, values: DataFrame, keys: list[str], columns: list
 
 
 class StoredTable:
-    """A table below a path. A write makes a new version and then appends its name to the list of versions, so readers see whole versions only."""
+    """A table below a path. A write makes a new folder and commits it as the next version, so readers see whole versions only and of two writers at once one fails (versions.Conflict)."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
+        self.versions = Versions(spark, self.path)
 
-    def version(self) -> str | None:
-        try:
-            rows = self.spark.read.schema("name string, n long").json(f"{self.path}/versions").orderBy(F.desc("n")).limit(1).collect()
-        except AnalysisException:  # nothing written yet
-            return None
-        return rows[0].name if rows else None
+    def _read(self, text: str) -> DataFrame | None:
+        return self.spark.read.parquet(f"{self.path}/{text.strip()}") if text else None
 
     def read(self) -> DataFrame | None:
-        name = self.version()
-        return self.spark.read.parquet(f"{self.path}/{name}") if name else None
+        return self._read(self.versions.latest()[1])
 
-    def write(self, rows: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+    def write(self, rows: DataFrame, partition_by: list[str] | None = None, number: int | None = None) -> DataFrame:
+        """number: the version that the rows were made from; the latest, if none is given."""
+        number = self.versions.latest()[0] if number is None else number
         name = f"data-{uuid.uuid4().hex}"
         writer = rows.write.partitionBy(*partition_by) if partition_by else rows.write
         writer.parquet(f"{self.path}/{name}")
-        try:
-            n = self.spark.read.schema("name string, n long").json(f"{self.path}/versions").count()
-        except AnalysisException:
-            n = 0
-        self.spark.createDataFrame([(name, n + 1)], "name string, n long").coalesce(1).write.mode("append").json(f"{self.path}/versions")
-        return self.spark.read.parquet(f"{self.path}/{name}")
+        self.versions.commit(number + 1, name)
+        return self._read(name)
 
     def upsert(self, source: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
-        return self.write(merged(self.read(), source, keys, order))
+        """Writes the whole table anew; where increments touch a few parts of it, PartedTable writes those alone."""
+        number, text = self.versions.latest()
+        return self.write(merged(self._read(text), source, keys, order), number=number)
 
 
 def increments(target: DataFrame, source: DataFrame, key: str, date: str) -> DataFrame:
