@@ -109,3 +109,9 @@ def half_up(c: Column, digits: int = 0) -> Column:
     """Rounds halves up, as scripts in browsers do."""
     scale = 10.0**digits
     return F.floor(c * scale + 0.5) / scale
+
+
+def looked_up(c: Column, values: dict[str, str], default: str | Column) -> Column:
+    """The value for the text without spaces around it and in any case; the default for others and for null."""
+    known = F.create_map(*[F.lit(x) for k, v in values.items() for x in (k.lower().strip(), v)]) if values else F.create_map().cast("map<string,string>")
+    return F.coalesce(F.try_element_at(known, F.lower(F.btrim(c))), F.lit(default) if isinstance(default, str) else default)

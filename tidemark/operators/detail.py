@@ -82,3 +82,42 @@ def expected_income(plan: DataFrame, upcoming: DataFrame) -> DataFrame:
     first = Window.partitionBy("symbol").orderBy(F.asc_nulls_last("ex_date"), F.desc_nulls_last("amount"))
     next_one = upcoming.join(plan.select("symbol").distinct(), "symbol", "left_semi").withColumn("rank_", F.row_number().over(first)).where("rank_ = 1").select("symbol", "ex_date", "amount")
     return plan.select("symbol", "quantity").join(next_one, "symbol", "left").withColumn("income", F.col("quantity") * F.col("amount"))
+
+
+def movers(rows: DataFrame, n: int = 5) -> DataFrame:
+    """side ('top' or 'flop'), rank, symbol, date, close, change of the n largest and n smallest changes of the newest day (ties: by symbol); symbols without a bar on it or before it are left out."""
+    change = F.try_divide("close", F.lag("close").over(bars.by_date())) - 1
+    last = rows.agg(F.max("date").alias("date"))  # one row
+    own = rows.select("symbol", "date", "close", change.alias("change")).join(F.broadcast(last), "date", "left_semi").where("change is not null")
+    sides = []
+    for side, order in (("top", F.desc("change")), ("flop", F.asc("change"))):
+        best = own.orderBy(order, "symbol").limit(n)
+        sides.append(best.select(F.lit(side).alias("side"), F.row_number().over(Window.partitionBy(F.lit(side)).orderBy(order, "symbol")).alias("rank"), "symbol", "date", "close", "change"))
+    return sides[0].unionByName(sides[1])
+
+
+def movers_document(rows: DataFrame, n: int = 5) -> DataFrame:
+    """One document of the movers: date, top, flop."""
+    own = movers(rows, n)
+    side = lambda s: F.sort_array(F.collect_list(F.when(F.col("side") == s, F.struct("rank", "symbol", "close", "change")))).alias(s)
+    return own.agg(F.max("date").alias("date"), side("top"), side("flop")).select(F.to_json(F.struct("date", "top", "flop")).alias("document"))
+
+
+def positioning(rows: DataFrame, earnings: DataFrame, profiles: DataFrame) -> DataFrame:
+    """symbol, per, total_return, cap, sector: the last close over the newest earnings per share (null without positive ones), the change from the first close to the last, and the shares' worth, for symbols with a bar.
+
+    earnings (symbol, exercice, bnpa), profiles (symbol, shares, sector).
+    """
+    own = rows.groupBy("symbol").agg(F.min_by("close", "date").alias("first_"), F.max_by("close", "date").alias("last_"))
+    newest = earnings.where("bnpa is not null").groupBy("symbol").agg(F.max_by("bnpa", "exercice").alias("bnpa_"))
+    own = own.join(newest, "symbol", "left").join(profiles.select("symbol", "shares", "sector"), "symbol", "left")
+    return own.select("symbol", F.when(F.col("bnpa_") > 0, F.col("last_") / F.col("bnpa_")).alias("per"), (F.try_divide("last_", "first_") - 1).alias("total_return"), (F.col("last_") * F.col("shares")).alias("cap"), "sector")
+
+
+def canonical(rows: DataFrame, documents: DataFrame) -> DataFrame:
+    """rows (symbol_key, ...) with symbol: the ticker that a document of the same file key holds; null where none does. Keys are never turned back into symbols by their letters.
+
+    documents (file, ticker): the key is the file's name up to its last underscore; of several tickers of a key the smallest counts.
+    """
+    known = documents.where("ticker is not null").groupBy(F.regexp_replace("file", r"_[^_]*$", "").alias("symbol_key")).agg(F.min("ticker").alias("symbol"))
+    return rows.join(known, "symbol_key", "left")

@@ -183,12 +183,55 @@ def stored_signals(spark, sf):
     return sinks.merged(sinks.merged(None, own, ["ticker", "as_of"]), again, ["ticker", "as_of"])
 
 
-QUERIES = {f.__name__: f for f in (transaction_costs, portfolio_totals, rebalance_lines, dividend_years, carried_closes, last_closes, bar_turnovers, parsed_texts, link_counts, selected_news, signal_concentration, monthly_metrics, kept_first_writes, filled_values, new_increments, csv_round_trip, documents_round_trip, statuses, year_sheet, symbols_by_kind, streamed_upsert, stored_signals)}
+def day_movers(spark, sf):
+    from tidemark.operators import detail
+
+    own = daily_bars(spark, sf).where("date <= '2000-03-15'")
+    return detail.movers(own).select("side", F.col("rank").cast("long").alias("rank"), "symbol", "date", F.round(F.col("close") + TIE, 3).alias("close"), F.round(F.col("change") + TIE, 4).alias("change"))
+
+
+def value_growth(spark, sf):
+    """Brands by what their parts bring, years as years of earnings."""
+    from tidemark.operators import detail
+
+    own, part = daily_bars(spark, sf), _table(spark, sf, "part")
+    profiles = part.groupBy(F.col("p_brand").alias("symbol")).agg(F.count("*").alias("shares"), F.min("p_type").alias("sector"))
+    earnings = own.groupBy("symbol", F.year("date").alias("exercice")).agg((F.sum("volume") / 100.0 - 30).alias("bnpa"))
+    got = detail.positioning(own, earnings, profiles)
+    return got.select("symbol", F.round(F.col("per") + TIE, 4).alias("per"), F.round(F.col("total_return") + TIE, 4).alias("total_return"), F.round(F.col("cap") + TIE, 2).alias("cap"), "sector")
+
+
+def canonical_symbols(spark, sf):
+    """Brands by the keys of their files; some have no document."""
+    from tidemark.operators import detail
+
+    brands = _table(spark, sf, "part").select("p_brand").distinct()
+    key = F.regexp_replace("p_brand", "[^A-Za-z0-9]", "_")
+    documents = brands.where("p_brand <> 'Brand#3'").select(F.concat(key, F.lit("_societe.json")).alias("file"), F.col("p_brand").alias("ticker"))
+    return detail.canonical(brands.select(key.alias("symbol_key")), documents)
+
+
+def news_status(spark, sf):
+    """Number of news by category with a default, and the last day."""
+    kinds = french.looked_up(F.col("lang"), {"fr": "Français", " EN ": "Anglais"}, "Autre")
+    own = _table(spark, sf, "documents").select(kinds.alias("category"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 300).cast("int")).alias("date"))
+    return own.groupBy("category").agg(F.count("*").alias("n"), F.max("date").alias("last"))
+
+
+def match_previews(spark, sf):
+    titles = _table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.substring_index("text", "\n", 1).alias("head"), "text")
+    path = scratch_folder(spark, "preview")
+    sinks.match_preview(news.linked(titles.select("id", F.col("text").alias("title")), PATTERNS), titles.select("id", F.lit("t").alias("title")), path)
+    return files.text_table(spark, path).select("outcome", F.col("id").cast("long").alias("id"), "key")
+
+
+QUERIES = {f.__name__: f for f in (transaction_costs, portfolio_totals, rebalance_lines, dividend_years, carried_closes, last_closes, bar_turnovers, parsed_texts, link_counts, selected_news, signal_concentration, monthly_metrics, kept_first_writes, filled_values, new_increments, csv_round_trip, documents_round_trip, statuses, year_sheet, symbols_by_kind, streamed_upsert, stored_signals, day_movers, value_growth, canonical_symbols, news_status, match_previews)}
 
 _HELD = f"""{BARS}, q AS (SELECT symbol, arg_max(close, date) AS last FROM bars WHERE symbol <> 'Brand#11' GROUP BY symbol),
   h AS (SELECT o_custkey AS portfolio, p_brand AS symbol, coalesce(CAST(sum(l_quantity) FILTER (WHERE l_returnflag <> 'R') AS BIGINT), 0) AS quantity, sum(l_extendedprice) / sum(l_quantity) AS cost FROM lineitem, orders, part WHERE l_orderkey = o_orderkey AND l_partkey = p_partkey GROUP BY 1, 2)"""
 _PLAIN = "regexp_replace(translate(lower(replace(replace(coalesce(text, ''), '’', ''''), '‘', '''')), 'àâäáãåçéèêëíìîïñóòôöõúùûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), '[^\\x00-\\x7F]', '', 'g')"
 _COUNT = " + ".join(f"CAST(regexp_matches(t, '\\b({'|'.join(x.replace('.', chr(92) + '.') for x in v)})\\b') AS INT)" for _, v in sorted(PATTERNS.items()))
+_NAMED = ", ".join(f"CASE WHEN regexp_matches(t, '\\b({'|'.join(x.replace('.', chr(92) + '.') for x in v)})\\b') THEN '{k}' END" for k, v in sorted(PATTERNS.items()))
 ORACLE = {
     "transaction_costs": f"SELECT l_orderkey, sum(f) AS fee, round(sum(l_extendedprice + f) + {TIE}, 3) AS cost, round(sum(l_extendedprice - f) + {TIE}, 3) AS proceeds FROM (SELECT *, floor(l_extendedprice * 0.011e0 + 0.5) AS f FROM lineitem) GROUP BY l_orderkey",
     "portfolio_totals": f"""WITH {_HELD}, v AS (SELECT portfolio, quantity * cost AS inv, coalesce(quantity * last, quantity * cost) AS mv FROM h LEFT JOIN q USING (symbol) WHERE quantity > 0),
@@ -222,4 +265,13 @@ ORACLE = {
     "symbols_by_kind": "SELECT DISTINCT p_brand AS symbol, 'Action' AS kind FROM part WHERE p_brand < 'Brand#3' UNION ALL SELECT DISTINCT p_brand, 'Fonds' FROM part JOIN lineitem ON l_partkey = p_partkey",
     "streamed_upsert": "SELECT o_custkey AS k, max(o_orderkey) AS seq, arg_max(o_totalprice, o_orderkey) AS o_totalprice FROM orders GROUP BY 1",
     "stored_signals": f"WITH {BARS} SELECT symbol AS ticker, date AS as_of, round(close + {TIE}, 3) + CASE WHEN month(date) = 12 THEN 1 ELSE 0 END AS close FROM bars WHERE year(date) = 2000",
+    "day_movers": f"""WITH {BARS}, c AS (SELECT symbol, date, close, close / lag(close) OVER (PARTITION BY symbol ORDER BY date) - 1 AS change FROM bars WHERE date <= DATE '2000-03-15'),
+      d AS (SELECT *, row_number() OVER (ORDER BY change DESC, symbol) AS up, row_number() OVER (ORDER BY change, symbol) AS down FROM c WHERE date = (SELECT max(date) FROM c) AND change IS NOT NULL)
+      SELECT 'top' AS side, up AS rank, symbol, date, round(close + {TIE}, 3) AS close, round(change + {TIE}, 4) AS change FROM d WHERE up <= 5 UNION ALL SELECT 'flop', down, symbol, date, round(close + {TIE}, 3), round(change + {TIE}, 4) FROM d WHERE down <= 5""",
+    "value_growth": f"""WITH {BARS}, p AS (SELECT p_brand AS symbol, count(*) AS shares, min(p_type) AS sector FROM part GROUP BY 1), y AS (SELECT symbol, year(date) AS y, sum(volume) / 100.0 - 30 AS e FROM bars GROUP BY 1, 2), e AS (SELECT symbol, arg_max(e, y) AS e FROM y GROUP BY 1),
+      b AS (SELECT symbol, arg_min(close, date) AS first, arg_max(close, date) AS last FROM bars GROUP BY 1)
+      SELECT symbol, round(CASE WHEN e > 0 THEN last / e END + {TIE}, 4) AS per, round(last / first - 1 + {TIE}, 4) AS total_return, round(last * shares + {TIE}, 2) AS cap, sector FROM b JOIN e USING (symbol) JOIN p USING (symbol)""",
+    "canonical_symbols": "SELECT replace(p_brand, '#', '_') AS symbol_key, nullif(p_brand, 'Brand#3') AS symbol FROM part GROUP BY p_brand",
+    "news_status": "SELECT CASE lang WHEN 'fr' THEN 'Français' WHEN 'en' THEN 'Anglais' ELSE 'Autre' END AS category, count(*) AS n, max(CAST(DATE '2024-01-01' + CAST(doc_id % 300 AS INT) AS DATE)) AS last FROM documents GROUP BY 1",
+    "match_previews": f"WITH p AS (SELECT doc_id AS id, {_PLAIN} AS t FROM documents), k AS (SELECT id, list_filter([{_NAMED}], lambda x: x IS NOT NULL) AS hits FROM p) SELECT CASE WHEN len(hits) = 1 THEN 'linked' ELSE 'ambiguous' END AS outcome, id, CASE WHEN len(hits) = 1 THEN hits[1] ELSE len(hits) || ' keys' END AS key FROM k WHERE len(hits) > 0",
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,3 +39,11 @@ def bar_files(spark: SparkSession, path: str, most: int = 0) -> Loads:
     faults = {"no date": files.any_date(get("Date")).isNull(), "no close": french.clean_number(get("Cloture")).isNull(), "too many fields": F.col("extra")}
     got = by_file(lines, faults, most=most)
     return Loads(files.bars_of(got.accepted), got.rejected, got.report)
+
+
+def steps_run(steps: dict[str, Callable[[], object]], only: str | None = None) -> dict[str, object]:
+    """Runs the steps in their order, or those alone that only names (by commas, in any order), and returns what each gives; a name that is no step stops all before the first."""
+    wanted = list(steps) if only is None else [x.strip() for x in only.split(",") if x.strip()]
+    if unknown := sorted(set(wanted) - set(steps)):
+        raise ValueError(f"no such step: {', '.join(unknown)}")
+    return {name: step() for name, step in steps.items() if name in wanted}

@@ -95,3 +95,11 @@ def by_status(rows: DataFrame, path: str, status: str = "statut") -> None:
 def wide_sheet(rows: DataFrame, index: str, column: str, value: str, columns: list[str]) -> DataFrame:
     """A row for each index and a column for each of the named values; the names are given, so nothing is scanned for them."""
     return rows.groupBy(index).pivot(column, columns).agg(F.first(value)).orderBy(index)
+
+
+def match_preview(links: DataFrame, titles: DataFrame, path: str) -> None:
+    """What linking would do, for review: linked and ambiguous titles with their keys, as CSV; unlinked ones are left out."""
+    own = titles.select("id", "title").join(links.select("id", "key", "n_keys", "outcome"), "id")
+    linked = own.where("outcome = 'linked'").select("outcome", "id", "title", "key")
+    ambiguous = own.where("outcome = 'ambiguous'").select("outcome", "id", "title", F.format_string("%d keys", "n_keys").alias("key"))
+    linked.unionByName(ambiguous).write.csv(path, sep=";", header=True, escape='"')

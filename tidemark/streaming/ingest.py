@@ -20,6 +20,10 @@ from tidemark.sources.sinks import StoredTable
 ROCKS = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 
 
+#: Order of transactions with the same seq, as in portfolio.rank.
+MONEY_IN = {"DEPOSIT": 1, "SELL": 2, "BUY": 3, "WITHDRAW": 4}
+
+
 def upserted(stream: DataFrame, path: str, keys: list[str], order: str, checkpoint: str) -> StreamingQuery:
     """Takes all that is there and upserts each batch; a batch that is run again gives the same table, as the merge can be replayed."""
     table = StoredTable(stream.sparkSession, path)
@@ -76,7 +80,8 @@ def replayed(stream: DataFrame, rate: float = 0.011) -> DataFrame:
         if group.exists:
             state["cash"], held = group.get
             state["held"] = {k: tuple(v) for k, v in json.loads(held).items()}
-        rows = pd.concat(list(frames))[["portfolio", *order]].sort_values(order)
+        rows = pd.concat(list(frames))[["portfolio", *order]]
+        rows = rows.assign(rank_=rows["type"].map(MONEY_IN).fillna(9)).sort_values(["seq", "rank_", *order[1:]])[["portfolio", *order]]
         rows = rows.astype(object).where(rows.notna(), None)
         out = replay(rows.itertuples(index=False, name=None), state, rate)
         group.update((state["cash"], json.dumps(state["held"])))
