@@ -2,8 +2,8 @@
 
 The corpus is split into a few shards, and each shard is mined completely at the
 support's share: a phrase with the global support reaches it in one shard at least.
-Mining counts 64-bit hashes of phrases, level by level: two words first, then three
-and four words where all shorter phrases inside are frequent. Equal hashes can only
+Mining counts 64-bit hashes of phrases, level by level: one and two words first, then
+three and four words where all shorter phrases inside are frequent. Equal hashes can only
 raise a count, so nothing is lost. The union of the locally frequent hashes becomes a
 bitmap of fixed size (with more hashes than it has room for it lets more phrases pass,
 never fewer), and a last pass counts the phrases themselves that pass it, exactly and
@@ -19,6 +19,7 @@ empty table. Other columns of the input are not read.
 from __future__ import annotations
 
 from collections import Counter
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +31,11 @@ from tidemark.llm.common import ORACLE, QUERIES, mix64, slices, table, written
 LONGEST = 4
 SUPPORT = 30
 TOP = 2000
-SHARDS = 4
+SHARDS = 2
 #: Bits of the bitmap of frequent hashes (16 MB), whatever the input's size.
 BITS = 27
 #: Hashes, words and phrases that a task holds before it passes their counts on.
-BUFFER, WORDS, PHRASES = 4_000_000, 300_000, 300_000
+BUFFER, WORDS, PHRASES = 4_000_000, 300_000, 800_000
 #: Separators become full stops, which no word holds, and tabs spaces; A-Z are lower-cased.
 PLAIN = bytes.maketrans(b",;:!?\n\x0b\x0c\r\tABCDEFGHIJKLMNOPQRSTUVWXYZ", b"......... abcdefghijklmnopqrstuvwxyz")
 
@@ -73,8 +74,11 @@ def phrase_hashes(words: list[bytes], known: Hashes, lang: str) -> list[np.ndarr
 
 
 def passed(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
-    at = h >> np.uint64(64 - BITS)
-    return (h != 0) & ((bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+    """Whether a hash (0: none) has both its places marked: that of its upper and that of its lower bits."""
+    out = h != 0
+    for at in (h >> np.uint64(64 - BITS), h & np.uint64((1 << BITS) - 1)):
+        out &= ((bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+    return out
 
 
 def in_languages(batches):
@@ -92,7 +96,7 @@ def spoken(docs: DataFrame) -> DataFrame:
 
 
 def mined(docs: DataFrame, support: int, shards: int, longer: np.ndarray | None = None) -> DataFrame:
-    """h: hashes that are locally frequent in a shard. Of two words; with the bitmap of those, of three and four words."""
+    """h: hashes that are locally frequent in a shard. Of words and of two words; with the bitmap of those, of three and four words."""
     sent = docs.sparkSession.sparkContext.broadcast(longer) if longer is not None else None
 
     def count(batches):
@@ -108,9 +112,9 @@ def mined(docs: DataFrame, support: int, shards: int, longer: np.ndarray | None
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h[b]), shard, np.int32)), pa.array(h[b].view(np.int64)), pa.array(n[b].astype(np.int64))], ["shard", "h", "n"])
 
         for lang, texts in in_languages(batches):
-            _, two, three, four = phrase_hashes(tokens(texts), known, lang)
+            one, two, three, four = phrase_hashes(tokens(texts), known, lang)
             if sent is None:
-                new = [two[two != 0]]
+                new = [one[one != 0], two[two != 0]]
             else:
                 ok = passed(sent.value, two)
                 ok3 = (three != 0) & ok
@@ -131,9 +135,9 @@ def mined(docs: DataFrame, support: int, shards: int, longer: np.ndarray | None
 
 
 def bitmap(hashes: DataFrame) -> np.ndarray:
-    """The hashes' upper BITS bits as a bitmap; 2^(BITS - 15) rows of 4 KB at most come to the driver."""
-    at = F.shiftrightunsigned("h", 64 - BITS) + 1
-    rows = hashes.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")).collect()
+    """A bitmap with the places of the hashes' upper and lower BITS bits; 2^(BITS - 15) rows of 4 KB at most come to the driver."""
+    places = F.explode(F.array(F.shiftrightunsigned("h", 64 - BITS), F.col("h").bitwiseAND((1 << BITS) - 1)))
+    rows = hashes.select(places.alias("place")).select((F.col("place") + 1).alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")).collect()
     out = np.zeros((1 << (BITS - 15), 4096), np.uint8)
     for r in rows:
         out[r.bucket - 1] = np.frombuffer(r.bits, np.uint8)
@@ -141,30 +145,29 @@ def bitmap(hashes: DataFrame) -> np.ndarray:
 
 
 def counted(docs: DataFrame, frequent: np.ndarray, support: int) -> DataFrame:
-    """lang, phrase, words, f: exact counts of the words, of phrases of the bitmap with the support, and of all words (phrase null)."""
+    """lang, phrase, words, f: exact counts of the words and phrases of the bitmap that have the support, and of all words (phrase null)."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def count(batches):
-        known, own = Hashes(), Counter()
+        known, own = Hashes(), {}
 
         def flushed():
-            rows = list(own.items())
+            for (lang, k), found in own.items():
+                rows = list(found.items())
+                for at in range(0, len(rows), 1 << 16):
+                    part = rows[at : at + (1 << 16)]
+                    n = len(part)
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), pa.array([p for p, _ in part], pa.binary()).cast(pa.string()), pa.array([k] * n, pa.int32()), pa.array([c for _, c in part], pa.int64())], ["lang", "phrase", "words", "f"])
             own.clear()
-            for a in range(0, len(rows), 1 << 16):
-                part = rows[a : a + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k, _ in part], pa.string()), pa.array([k[1] for k, _ in part], pa.binary()).cast(pa.string()), pa.array([k[2] for k, _ in part], pa.int32()), pa.array([n for _, n in part], pa.int64())], ["lang", "phrase", "words", "f"])
 
         for lang, texts in in_languages(batches):
             words = tokens(texts)
             levels = phrase_hashes(words, known, lang)
-            own[lang, None, 0] += int((levels[0] != 0).sum())
-            for word, n in Counter(words).items():
-                own[lang, word, 1] += n
-            own.pop((lang, b".", 1), None)
-            for k in range(2, LONGEST + 1):
-                for phrase, n in Counter([b" ".join(words[a : a + k]) for a in np.flatnonzero(passed(sent.value, levels[k - 1])).tolist()]).items():
-                    own[lang, phrase, k] += n
-            if len(own) > PHRASES:
+            own.setdefault((lang, 0), Counter())[None] += int((levels[0] != 0).sum())
+            for k in range(1, LONGEST + 1):
+                parts = compress(zip(*(words[a:] for a in range(k)), strict=False), passed(sent.value, levels[k - 1]).tolist())
+                own.setdefault((lang, k), Counter()).update(map(b" ".join, parts))
+            if sum(map(len, own.values())) > PHRASES:
                 yield from flushed()
         yield from flushed()
 
