@@ -9,6 +9,7 @@ from tidemark.functions import french
 from tidemark.operators import allocation, bars, dividends, news, portfolio
 from tidemark.plans import roles
 from tidemark.sources import sinks
+from tidemark.sources.scratch import written
 
 # What the news query looks for.
 PATTERNS = {"apache": ["apache license"], "cc": ["cc by-nc 4.0"], "gpl": ["gnu general public license"], "mit": ["mit license"], "any": ["licensed under", "released under"]}
@@ -51,10 +52,10 @@ def monthly_kendall(spark, sf):
 
 
 def shrunk_covariances(spark, sf):
-    """Of monthly returns, which all brands have."""
-    own = daily_bars(spark, sf).groupBy("symbol", F.trunc("date", "month").cast("date").alias("date")).agg(F.max_by("close", "date").alias("close"))
+    """Of monthly returns, which all brands have; months and returns are written once, as each is read several times."""
+    own = written(daily_bars(spark, sf).groupBy("symbol", F.trunc("date", "month").cast("date").alias("date")).agg(F.max_by("close", "date").alias("close")), "months")
     grid = own.agg(F.max("date").alias("as_of"))
-    got = allocation.shrunk_covariance(allocation.aligned_returns(own, grid, years=10))
+    got = allocation.shrunk_covariance(written(allocation.aligned_returns(own, grid, years=10), "returns"))
     return got.select("a", "b", F.round("raw", 6).alias("raw"), F.round("shrunk", 6).alias("shrunk"), F.round("shrinkage", 6).alias("shrinkage"))
 
 

@@ -74,12 +74,14 @@ def spark_text(sql: str, stored: tuple[str, ...] = ()) -> str:
     return re.sub(r"BACK\(([^;]*);([^)]*)\)", r"date_sub(\1, CAST(\2 AS INT))", text)
 
 
-#: Folders of stored bars by application, input and the input's state.
-_stored: dict[tuple, str] = {}
+#: Roles that are written once, each made of the tables and of those before it.
+STORED = ("bars", "coarse", "panel")
+#: Folders and schemas of stored roles by name, application, input and the input's state.
+_stored: dict[tuple, tuple] = {}
 
 
-def stored_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The bars of an input, written once for all queries of a session, and anew when the input's files have changed."""
+def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A stored role of an input, written once for all queries of a session, and anew when the input's files have changed."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     conf = spark._jsc.sc().hadoopConfiguration()
     state = []
@@ -88,13 +90,19 @@ def stored_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         fs = at.getFileSystem(conf)
         size = fs.getContentSummary(at)
         state.append((fs.getFileStatus(at).getModificationTime(), size.getLength(), size.getFileCount()))
-    key = (spark.sparkContext.applicationId, sf_dir, *state)
-    known = _stored.get(key)
+    key = (name, spark.sparkContext.applicationId, sf_dir, *state)
+    known, schema = _stored.get(key, (None, None))
     if known is None or not path(f"{known}/_SUCCESS").getFileSystem(conf).exists(path(f"{known}/_SUCCESS")):
-        known = scratch_folder(spark, "bars")
-        filled(spark, sf_dir, spark_text("SELECT * FROM bars")).write.parquet(known)
-        _stored[key] = known
-    return spark.read.schema("symbol string, date date, open double, high double, low double, close double, volume long, turnover long").parquet(known)
+        known = scratch_folder(spark, name)
+        own = run(spark, sf_dir, f"SELECT * FROM {name}", STORED[: STORED.index(name)])
+        own.write.parquet(known)
+        schema = own.schema
+        _stored[key] = known, schema
+    return spark.read.schema(schema).parquet(known)
+
+
+def stored_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, "bars")
 
 
 def filled(spark: SparkSession, sf_dir: str, text: str, **more: DataFrame) -> DataFrame:
@@ -105,7 +113,7 @@ def filled(spark: SparkSession, sf_dir: str, text: str, **more: DataFrame) -> Da
     return spark.sql(text, **used)
 
 
-def run(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """The query over the tables and, where it needs them, the stored bars."""
-    text = spark_text(sql, ("bars",))
-    return filled(spark, sf_dir, text, **({"bars": stored_bars(spark, sf_dir)} if re.search(r"(FROM|JOIN)\s+bars\b", text) else {}))
+def run(spark: SparkSession, sf_dir: str, sql: str, roles: tuple[str, ...] = STORED) -> DataFrame:
+    """The query over the tables and the stored ones of the roles, where it needs them."""
+    text = spark_text(sql, roles)
+    return filled(spark, sf_dir, text, **{r: stored(spark, sf_dir, r) for r in roles if re.search(rf"(FROM|JOIN)\s+{r}\b", text)})
