@@ -1,12 +1,14 @@
 """Detail documents, restrictions, orders by name, and stored tables."""
 
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions import french
 from tidemark.operators import detail, portfolio
-from tidemark.sources import parted, sinks
+from tidemark.sources import loads, parted, sinks
 
 D = dt.date
 
@@ -60,3 +62,34 @@ def test_stored_table_is_locked(spark, tmp_path):
     parted.Versions(spark, str(tmp_path / "t")).commit(number + 1, "other")
     with pytest.raises(parted.Conflict):
         table.write(rows, number=number)
+
+
+def test_movers_and_positions(spark):
+    rows = [(s, D(2024, 1, k), float(c)) for s, own in {"A": [10, 11], "B": [10, 9], "C": [10, 12], "D": [10, 11], "E": [5]}.items() for k, c in enumerate(own, 1)] + [("F", D(2024, 1, 2), 3.0)]
+    quotes = spark.createDataFrame(rows, "symbol string, date date, close double")
+    got = [(r.side, r["rank"], r.symbol, round(r.change, 6)) for r in detail.movers(quotes, 2).orderBy("side", "rank").collect()]
+    assert got == [("flop", 1, "B", -0.1), ("flop", 2, "A", 0.1), ("top", 1, "C", 0.2), ("top", 2, "A", 0.1)]
+    doc = json.loads(detail.movers_document(quotes, 1).first().document)
+    assert doc["date"] == "2024-01-02" and [r["symbol"] for r in doc["top"]] == ["C"] and [r["symbol"] for r in doc["flop"]] == ["B"]
+    earnings = spark.createDataFrame([("A", 2022, 5.0), ("A", 2023, 2.0), ("B", 2023, -1.0)], "symbol string, exercice int, bnpa double")
+    profiles = spark.createDataFrame([("A", 100, "x")], "symbol string, shares long, sector string")
+    own = {r.symbol: (r.per, r.total_return and round(r.total_return, 6), r.cap, r.sector) for r in detail.positioning(quotes, earnings, profiles).collect()}
+    assert own["A"] == (5.5, 0.1, 1100.0, "x") and own["B"][0] is None and own["E"] == (None, 0.0, None, None)
+
+
+def test_canonical_and_lookups(spark):
+    rows = spark.createDataFrame([("A_B_ci", 1), ("Z_ci", 2), (None, 3)], "symbol_key string, v int")
+    documents = spark.createDataFrame([("A_B_ci_societe.json", "A-B.ci"), ("Q_ci_societe.json", None)], "file string, ticker string")
+    assert {(r.v, r.symbol) for r in detail.canonical(rows, documents).collect()} == {(1, "A-B.ci"), (2, None), (3, None)}
+    texts = spark.createDataFrame([(" OUI ",), ("x",), (None,)], "c string")
+    assert [r[0] for r in texts.select(french.looked_up(F.col("c"), {"oui": "yes"}, "other")).collect()] == ["yes", "other", "other"]
+
+
+def test_import_steps():
+    ran = []
+    steps = {k: (lambda k=k: ran.append(k) or k.upper()) for k in "abc"}
+    assert loads.steps_run(steps, "c, a") == {"a": "A", "c": "C"} and ran == ["a", "c"]
+    assert list(loads.steps_run(steps)) == ["a", "b", "c"]
+    with pytest.raises(ValueError, match="no such step: x"):
+        loads.steps_run(steps, "a,x")
+    assert ran == ["a", "c", "a", "b", "c"]
