@@ -319,3 +319,32 @@ def test_licences_hot_and_wrapped(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: (r.n_licences, r.families) for r in licences.scanned(docs, licences.LicenceModel.fit(docs)).collect()}
     assert got == {k: (1, "MIT") if k % 3 == 0 else (0, "") for k in range(300)} | {300: (1, "GPL-3.0"), 301: (1, "BSD-3-Clause"), 302: (0, ""), 303: (2, "MIT"), 304: (0, ""), 305: (1, "LGPL-3.0"), 306: (1, "CC-BY-NC-4.0"), 307: (1, "GPL-3.0"), 308: (1, "Apache-2.0"), 309: (0, "")}
+
+
+SENTENCES = {
+    "never released under the MIT License": "",
+    "The MIT License was written in the eighties.": "",
+    "No part is licensed under the GNU General Public License.": "",
+    "This article compares the MIT License with others": "",
+    "We do not publish this under the MIT License.": "",
+    "Dual licensed under the MIT License or the Apache License, Version 2.0.": "Apache-2.0,MIT",
+    "License: MIT": "MIT",
+    "Licensed under GPLv3": "GPL-3.0",
+    "This project is MIT licensed.": "MIT",
+    "Apache 2.0 license": "Apache-2.0",
+    "Released under the MIT Licence.": "MIT",
+    "Licensed under GPL version 2 only": "GPL-2.0",
+    "Licensed under the GNU General Public License version 2": "GPL-2.0",
+    "Released under the MIT License.": "MIT",
+    'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.': "Apache-2.0",
+    "Not licensed under the MIT License or the Apache License, Version 2.0.": "",
+}
+
+
+def test_licence_sentences(spark):
+    """Denied, spoken of, dual, versions and short forms; trained on prose alone."""
+    rng = random.Random(4)
+    prose = spark.createDataFrame([(k, " ".join(f"w{rng.randint(0, 300)}" for _ in range(12))) for k in range(300)], "doc_id long, text string")
+    rows = spark.createDataFrame(list(enumerate(SENTENCES)), "doc_id long, text string")
+    got = {r.doc_id: r.families for r in licences.scanned(rows, licences.LicenceModel.fit(prose)).collect()}
+    assert {s: got[k] for k, s in enumerate(SENTENCES)} == SENTENCES

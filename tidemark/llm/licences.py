@@ -6,12 +6,13 @@ bigrams and the same without the line does not; templates are names of licences
 first sentences of their standard headers (fixed values below). What stands there is
 predicted by a multinomial logistic regression with a lasso penalty over distinct word
 bigrams and trigrams, trained on names alone and after phrases that grant (GRANTS) and on headers,
-against unknown: names after phrases that only speak of a licence or deny it (TALK) and a
-bounded sample of the corpus's own lines (SAMPLE rows and one line of each, by hash;
+against unknown: names after and before phrases that only speak of a licence (TALK, AFTER),
+denied grants (DENIALS with PARTICIPLES) and a bounded sample of the corpus's own lines (SAMPLE rows and one line of each, by hash;
 distinct, and none that holds half of a template). The probability is calibrated: a
 logistic curve over its log-odds is fitted on phrases held out of the training and on a
 second sample of lines. A prediction counts from LEAST on, and where a template of its
-own family confirms it; a block counts once for each family.
+own family confirms it; a block counts once for each family. Where a paragraph confirms
+notices of several families, its alternatives are predicted one by one.
 
 As CONFIRM of a template can't be had without some of its words, only texts and lines near
 such a word are split into n-grams, and only those with a notice are predicted. Everything runs on built-in functions and pyspark.ml.
@@ -36,16 +37,17 @@ LEAST = 0.5
 # Names of licences by family.
 NAMES = {
     "AGPL-3.0": ["the GNU Affero General Public License", "SPDX-License-Identifier: AGPL-3.0-only"],
-    "Apache-2.0": ["the Apache License, Version 2.0", "SPDX-License-Identifier: Apache-2.0"],
+    "Apache-2.0": ["the Apache License, Version 2.0", "Apache 2.0 license", "SPDX-License-Identifier: Apache-2.0"],
     "BSD-3-Clause": ["the BSD 3-Clause License", "SPDX-License-Identifier: BSD-3-Clause"],
     "CC-BY-4.0": ["CC BY 4.0", "the Creative Commons Attribution 4.0 International License", "SPDX-License-Identifier: CC-BY-4.0"],
     "CC-BY-NC-4.0": ["CC BY-NC 4.0", "the Creative Commons Attribution-NonCommercial 4.0 International License", "SPDX-License-Identifier: CC-BY-NC-4.0"],
     "CC-BY-SA-4.0": ["CC BY-SA 4.0", "the Creative Commons Attribution-ShareAlike 4.0 International License", "SPDX-License-Identifier: CC-BY-SA-4.0"],
     "CC0-1.0": ["the CC0 1.0 Universal Public Domain Dedication", "SPDX-License-Identifier: CC0-1.0"],
-    "GPL-3.0": ["the GNU General Public License", "the GNU GPL version 3", "SPDX-License-Identifier: GPL-3.0-only", "SPDX-License-Identifier: GPL-3.0-or-later"],
+    "GPL-2.0": ["the GNU General Public License version 2", "under GPLv2", "GPL version 2", "SPDX-License-Identifier: GPL-2.0-only", "SPDX-License-Identifier: GPL-2.0-or-later"],
+    "GPL-3.0": ["the GNU General Public License", "the GNU GPL version 3", "under GPLv3", "GPL version 3", "SPDX-License-Identifier: GPL-3.0-only", "SPDX-License-Identifier: GPL-3.0-or-later"],
     "ISC": ["the ISC License", "SPDX-License-Identifier: ISC"],
     "LGPL-3.0": ["the GNU Lesser General Public License", "SPDX-License-Identifier: LGPL-3.0-only"],
-    "MIT": ["the MIT License", "SPDX-License-Identifier: MIT"],
+    "MIT": ["the MIT License", "the MIT Licence", "MIT licensed", "License: MIT", "SPDX-License-Identifier: MIT"],
     "MPL-2.0": ["the Mozilla Public License", "SPDX-License-Identifier: MPL-2.0"],
 }
 # First sentences of standard headers.
@@ -57,9 +59,12 @@ HEADERS = {
     "MIT": ["Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License"],
 }
-#: Phrases before a name, of training and (after the bar) held out: those that grant, and those that do not.
-GRANTS = "licensed under|available under|distributed under the terms of|made available under|provided under|subject to the terms of|use of this file is governed by|you may use this work under", "published under|covered by|offered under the terms of|shared under"
-TALK = "not licensed under|no longer available under|never distributed under|this is an article about|the history of|unlike works under|compare it with|we do not grant rights under|nothing here is under", "not published under|a lecture on|not provided under|the authors of"
+#: Phrases of training and (after the bar) held out: before a name, those that grant and those that only speak of it; after a name, what is said of it; and what turns a participle and "under" into a denial.
+GRANTS = "licensed under|available under|released under|distributed under the terms of|made available under|provided under|subject to the terms of|use of this file is governed by|you may use this work under|dual licensed under", "published under|covered by|offered under the terms of|shared under"
+TALK = "this is an article about|the history of|unlike works under|compare it with|this article compares|a book on|the text of|questions about|a summary of", "a lecture on|the authors of"
+AFTER = "was written in the past|was drafted by lawyers|is a permissive licence|is often chosen|has few conditions|differs from others|with others|explained", "was published long ago|is short"
+DENIALS = "do not|not|never|no longer|is not|was never|no part is|nothing here is|none of this is|cannot be|neither", "nor|without being"
+PARTICIPLES = "publish this|release this|license this|licensed|released|available|distributed|published|provided|offered|covered"
 #: Unknown words around training notices, so that no frame of words is learnt.
 AROUND = ["", "copyright the authors", "this work is", "all rights reserved", "see the file for details"]
 NOTICES = {f: [*NAMES[f], *HEADERS.get(f, [])] for f in NAMES}
@@ -147,6 +152,18 @@ def starts(docs: DataFrame) -> DataFrame:
     return found.where(alone | wrapped).select("doc_id", "block", "line", F.when(alone, line).otherwise(F.col("ahead")).alias("paragraph"))
 
 
+def apart(rows: DataFrame) -> DataFrame:
+    """Adds piece: a paragraph in which two families or more are confirmed is split between alternatives that each confirm one, with the words up to the first "under" before each."""
+    families = [f for f, texts in NOTICES.items() for _ in texts]
+    own = once(shares(F.col("paragraph")), lambda x: F.size(F.array_distinct(F.array_compact(F.array(*(F.when(F.get(x, F.lit(k)) >= CONFIRM, F.lit(f)) for k, f in enumerate(families)))))))
+    pieces = F.filter(F.split("paragraph", r"(?i)\b(?:or|and|ou|et)\b|[;/&]"), lambda p: F.array_max(shares(p)) >= CONFIRM)
+    lead = F.regexp_extract("paragraph", r"(?is)^(.*?\bunder\b)", 1)
+    led = F.transform(pieces, lambda p, i: F.when(i > 0, F.concat(lead, F.lit(" "), p)).otherwise(p))
+    several = F.when(own > 1, led)
+    paragraphs = F.when(F.size(several) > 1, several).otherwise(F.array("paragraph"))
+    return rows.select(*(c for c in rows.columns if c != "paragraph"), F.posexplode(paragraphs).alias("piece", "paragraph"))
+
+
 def featured(rows: DataFrame) -> DataFrame:
     """Adds features: the distinct bigrams and trigrams of paragraph."""
     return rows.withColumn("features", once(clean(F.col("paragraph")), lambda w: F.array_distinct(F.concat(grams(w, 2), grams(w, 3)))))
@@ -158,9 +175,13 @@ def phrases(part: int) -> list[tuple[str, str]]:
     for family, names in NAMES.items():
         for name in names:
             spdx = name.startswith("SPDX")
-            out += [(family, f"{x} {g} {name}") for g in GRANTS[part].split("|") if not spdx for x in AROUND]
-            out += [(UNKNOWN, f"{x} {t} {name}") for t in TALK[part].split("|") if not spdx for x in AROUND[:3]]
-            out += [(family, f"{x} {name}") for x in AROUND for _ in range(3)]
+            plain = name.removeprefix("under ")
+            out += [(family, f"{x} {g} {plain}") for g in GRANTS[part].split("|") if not spdx for x in AROUND for _ in range(2)]
+            out += [(family, f"{x} {name}") for x in AROUND for _ in range(6)]
+            if not spdx:
+                out += [(UNKNOWN, f"{x} {t} {plain}") for t in TALK[part].split("|") for x in AROUND[:3]]
+                out += [(UNKNOWN, f"{x} {plain} {t}") for t in AFTER[part].split("|") for x in AROUND[:3]]
+                out += [(UNKNOWN, f"{d} {p} under {plain}") for d in DENIALS[part].split("|") for p in PARTICIPLES.split("|")]
         out += [(family, f"{x} {h}") for h in HEADERS.get(family, []) for x in AROUND for _ in range(8)]
     return out
 
@@ -197,7 +218,7 @@ class LicenceModel:
         shift = [float(shift[k]) if k < len(shift) else -10.0 for k in range(len(families))]
         rows = [(feature, families[k], float(matrix[k, j])) for j, feature in enumerate(vectors.vocabulary) for k in range(matrix.shape[0]) if abs(matrix[k, j]) > 1e-6 and not set(feature.split(" ")) <= set(STOP)]
         model = cls(spark.createDataFrame(rows, "feature string, family string, weight double"), families, shift)
-        held = notices[1].union(unknown.where("second").drop("second")).select(F.monotonically_increasing_id().alias("doc_id"), F.lit(0).alias("block"), F.lit(0).alias("line"), "paragraph", F.col("family").alias("truth"))
+        held = notices[1].union(unknown.where("second").drop("second")).select(F.monotonically_increasing_id().alias("doc_id"), F.lit(0).alias("block"), F.lit(0).alias("line"), F.lit(0).alias("piece"), "paragraph", F.col("family").alias("truth"))
         held = written(held, "held-out")
         curve = model.scored(held.drop("truth")).join(held.select("doc_id", "truth"), "doc_id").where("family <> 'unknown'")
         curve = written(curve.select("odds", (F.col("family") == F.col("truth")).cast("double").alias("label")), "curve")
@@ -207,9 +228,9 @@ class LicenceModel:
         return model
 
     def scored(self, rows: DataFrame) -> DataFrame:
-        """doc_id, block, line, family, odds (log of), probability, coverage for rows of doc_id, block, line, paragraph."""
+        """doc_id, block, line, piece, family, odds (log of), probability, coverage for rows of doc_id, block, line, piece, paragraph."""
         own = featured(rows)
-        at = ["doc_id", "block", "line"]
+        at = ["doc_id", "block", "line", "piece"]
         hit = own.select(*at, F.explode(F.concat("features", F.array(F.lit("")))).alias("feature")).join(F.broadcast(self.weights), "feature", "left")
         names = F.array(*map(F.lit, self.families))
         sums = F.array(*(F.sum(F.when(F.col("family") == f, F.col("weight")).otherwise(0.0)) + F.lit(b) for f, b in zip(self.families, self.intercepts, strict=True)))
@@ -227,7 +248,7 @@ class LicenceModel:
 def scanned(docs: DataFrame, model: LicenceModel) -> DataFrame:
     """doc_id, n_paragraphs, n_licences, families (sorted, joined by commas), least_probability for every row."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    hits = model.scored(written(starts(own).distinct(), "starts")).where((F.col("family") != UNKNOWN) & (F.col("probability") >= LEAST) & (F.col("coverage") >= CONFIRM))
+    hits = model.scored(written(apart(starts(own).distinct()), "starts")).where((F.col("family") != UNKNOWN) & (F.col("probability") >= LEAST) & (F.col("coverage") >= CONFIRM))
     found = hits.groupBy(F.col("doc_id").alias("id_"), "block", "family").agg(F.max("probability").alias("p"))
     found = found.groupBy("id_").agg(F.count("*").alias("n_licences"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("families"), F.min("p").alias("least_probability"))
     rows = own.select("doc_id", F.when(F.length("text") > 0, F.regexp_count("text", F.lit(r"\n[ \t\r]*\n")) + 1).otherwise(F.lit(0)).cast("long").alias("n_paragraphs"))
