@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+#: What operators keep in a Python worker from task to task, by name; see released.
+STORES: dict[str, dict] = {}
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -83,6 +85,7 @@ def appended(df: DataFrame, text: str, fields: str, compute: Callable) -> DataFr
     at = names.index(text)
 
     def add(batches):
+        released()
         for batch in batches:
             for part in slices(batch, at):
                 got = compute(part.column(at).to_pylist())
@@ -92,6 +95,13 @@ def appended(df: DataFrame, text: str, fields: str, compute: Callable) -> DataFr
     return df.mapInArrow(add, f"{schema}, {fields}")
 
 
+def released(*kept: str) -> None:
+    """Drops what other operators' tasks have kept in this worker; a task that keeps nothing itself begins with it."""
+    for name, store in STORES.items():
+        if name not in kept:
+            store.clear()
+
+
 def slices(batch, at: int, most: int = 1_000_000, rows: int = 512):
     """Parts of the batch with about this many bytes of text at most, or one row."""
     sizes = np.zeros(batch.num_rows + 1, np.int64)

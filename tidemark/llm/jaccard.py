@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import QUERIES, mix64, removed, slices, table, written
+from tidemark.llm.common import QUERIES, mix64, released, removed, slices, table, written
 from tidemark.llm.graph import components
 
 WIDTH = 5
@@ -212,6 +212,7 @@ def scanned(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.nulls(len(s), pa.int64()), pa.array(s), pa.nulls(len(s), pa.int64()), pa.array(n), pa.nulls(len(s), pa.binary()), pa.array(np.ones(len(s), np.int32))], names)
 
     def scan(batches):
+        released()
         held, size = [], 0
         for batch in batches:
             for part in slices(batch, 1, STRETCH):

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ORACLE, QUERIES, mix64, slices, table, written
+from tidemark.llm.common import ORACLE, QUERIES, mix64, released, slices, table, written
 
 LEAST = 10
 WHITE = " \t\n\x0b\x0c\r"
@@ -112,6 +112,7 @@ def posted(docs: DataFrame) -> DataFrame:
     """doc_id, k1, k2: the distinct keys of each document."""
 
     def post(batches):
+        released()
         for batch in batches:
             for part in slices(batch, 1):
                 ids, keys = [], []
@@ -261,6 +262,7 @@ class LineIndex:
         at = columns.index("text")
 
         def rewrite(batches):
+            released()
             for batch in batches:
                 for part in slices(batch, at):
                     out = ([], [], [])

@@ -25,13 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import QUERIES, slices, table, written
+from tidemark.llm.common import QUERIES, STORES, slices, table, written
 
 SEQUENCE = 2048
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Characters of words kept per Python worker (each word counts 16 more); beyond that the store starts anew. It bounds memory and changes no result.
 KEPT = 32_000_000
-_encoders: dict[str, WordEncoder] = {}
+_encoders: dict[str, WordEncoder] = STORES.setdefault("words", {})
 
 
 class WordEncoder:
@@ -43,10 +43,10 @@ class WordEncoder:
     order is the same and fewer words differ. Special tokens are matched as they are written.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: int = KEPT):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.kept = Tokenizer.from_file(path), kept
         self.known: dict[str, bytes] = {"": b""}
         self.size = 0
 
@@ -61,7 +61,7 @@ class WordEncoder:
                     text = low
             split.append(text.replace("\n", " ").split(" "))
         known, words = self.known, set().union(*split) if split else set()
-        if self.size > KEPT:
+        if self.size > self.kept:
             known.clear()
             self.size = 0
         new = list(words.difference(known))
@@ -83,15 +83,15 @@ def encode_texts(texts: list[str | None], path: str) -> list[bytes]:
     return encoder_of(path).encode(texts)
 
 
-def tokenised_pieces(docs: DataFrame, path: str, end_id: int = 0, size: int = SEQUENCE) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32: ids of the document and end_id, cut every size tokens."""
+def tokenised_pieces(docs: DataFrame, path: str, end_id: int = 0, size: int = SEQUENCE, kept: int = KEPT) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32: ids of the document and end_id, cut every size tokens. With kept below KEPT a task's store is that much smaller and goes with the task, which takes more time and less memory."""
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = encoder_of(path)
+        encoder = encoder_of(path) if kept >= KEPT else WordEncoder(path, kept)
         for batch in batches:
             for part in slices(batch, 1, 1_000_000):
                 out = ([], [], [], [], [])
@@ -263,9 +263,9 @@ def packed(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
     return ranked.select(*names, "rank_").mapInArrow(place, f"{fields}, sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, path: str, end_id: int = 0, size: int = SEQUENCE) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, end_id: int = 0, size: int = SEQUENCE, kept: int = KEPT) -> DataFrame:
     """Each document's pieces with the sequence and the place in it where they stand."""
-    return packed(written(tokenised_pieces(docs, path, end_id, size), "pieces"), size)
+    return packed(written(tokenised_pieces(docs, path, end_id, size, kept), "pieces"), size)
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,12 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import QUERIES, table
+from tidemark.llm.common import QUERIES, STORES, table
 
 SPACE = "▁"
 #: Chunks kept per Python worker; beyond that the store starts anew. It bounds memory and changes no result.
 CHUNKS_KEPT = 500_000
-_codecs: dict[str, PieceCodec] = {}
+_codecs: dict[str, PieceCodec] = STORES.setdefault("pieces", {})
 
 
 class PieceCodec:
