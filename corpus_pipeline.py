@@ -1,4 +1,8 @@
-"""The corpus pipeline: each stage works on all that its predecessor kept."""
+"""The corpus pipeline: each stage works on all that its predecessor kept.
+
+Null texts have no language and go with the first stage; rows with a null id keep all their
+lines, repeated rows of an id are copies of each other, and an empty table gives no rows.
+"""
 
 from __future__ import annotations
 
@@ -19,6 +23,7 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that a document of a smaller id holds go; every document stays."""
     return lines.deduplicated(docs)
 
 
@@ -28,11 +33,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents that are left and their places in sequences of 2048 tokens."""
     import public_tokenizers
 
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), kept=KEPT)
 
 
+#: Characters of words that a packing task keeps: little, as its worker has run the other stages before.
+KEPT = 6_000_000
 STAGES = [
     ("language_id", identify_language),
     ("quality_classifier", classify_quality),
