@@ -147,3 +147,29 @@ def test_phrases_pass_a_full_bitmap(spark):
     full = np.full(1 << (phrases.BITS - 3), 255, np.uint8)
     rows = phrases.counted(table, full, 30)
     assert {(r.phrase, r.f) for r in rows.where("words = 4").collect()} == {("one two three four", 50), ("two three four five", 50), ("three four five one", 40), ("four five one two", 40), ("five one two three", 40)}
+
+
+def test_phrases_count_only_what_the_first_need(spark, monkeypatch):
+    """What the last pass counts does not grow with all frequent phrases."""
+    docs = [(f"left{k} right{k}. left{k} common", "en") for k in range(120) for _ in range(3 + k)]
+    table = spark.createDataFrame(docs, "text string, lang string").repartition(6)
+    places, counted = [], phrases.counted
+
+    def watched(own, bits, support):
+        places.append(int(np.unpackbits(bits).sum()))
+        return counted(own, bits, support)
+
+    monkeypatch.setattr(phrases, "counted", watched)
+    got = sorted(tuple(r) for r in phrases.collocations(table, 3, 5, 2).collect())
+    assert got == phrases_by_hand(docs, 3, 5)
+    assert len(got) == 5 and 0 < places[-1] <= 2 * 5 * 3  # two places for a phrase and its two parts; 962 with all frequent ones
+
+
+def test_phrases_dealt_otherwise(spark):
+    """Phrases whose task does not hold them any more are still linked with their parts."""
+    table = spark.createDataFrame([("one two three four", "en")] * 40 + [("two three", "en")] * 9, "text string, lang string").repartition(3)
+    short = phrases.mined(table, 30, 2)
+    frequent = short.union(phrases.mined(table, 30, 2, phrases.bitmap(short.select("h"))))
+    best, needed = ({r.h for r in rows.collect()} for rows in phrases.chosen(table, frequent, 10))
+    moved = tuple({r.h for r in rows.collect()} for rows in phrases.chosen(table, frequent.selectExpr("h", "n", "home + 50 AS home", "word"), 10))
+    assert (best, needed) == moved and len(best) == 1

@@ -4,11 +4,19 @@ The corpus is split into a few shards, and each shard is mined completely at the
 support's share: a phrase with the global support reaches it in one shard at least.
 Mining counts 64-bit hashes of phrases, level by level: one and two words first, then
 three and four words where all shorter phrases inside are frequent. Equal hashes can only
-raise a count, so nothing is lost. The union of the locally frequent hashes becomes a
-bitmap of fixed size (with more hashes than it has room for it lets more phrases pass,
-never fewer), and a last pass counts the phrases themselves that pass it, exactly and
-over all rows. Scores, the dropping of phrases inside longer ones and the ranks come
-from joins of the counted phrases.
+raise a count, so no candidate is lost. The same sums give a hash's count over all
+shards, and what has not the support there is dropped too. Sets of hashes are sent to
+tasks as bitmaps of fixed size (with more hashes than it has room for a bitmap lets more
+phrases pass, never fewer).
+
+One task for each frequent phrase, the first that saw it, gives the hashes of its parts
+and of the phrases inside it. Joins of these with the counts by hash tell which phrases
+can be among the first of their language; all that tie with the last stay. A last pass
+counts these and the parts of their cuts as words, exactly and over all rows, so that its
+rows grow with the tasks, not with tasks times frequent phrases. Scores, covers and ranks
+come from these exact counts. Two phrases of one hash would be told apart there, but could
+change which phrases are counted: with 10^10 different phrases the chance is about
+3 in 100,000 that such a pair touches any of the first 8000 phrases or their parts.
 
 Tasks hold one bounded buffer of hashes or counts; a frequent phrase is summed within
 tasks before rows are dealt. Null texts count as empty, null languages as `und`,
@@ -19,7 +27,8 @@ empty table. Other columns of the input are not read.
 from __future__ import annotations
 
 from collections import Counter
-from itertools import compress
+from functools import reduce
+from operator import add, or_
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +41,7 @@ LONGEST = 4
 SUPPORT = 30
 TOP = 2000
 SHARDS = 2
-#: Bits of the bitmap of frequent hashes (16 MB), whatever the input's size.
+#: Bits of a bitmap of hashes (16 MB), whatever the input's size.
 BITS = 27
 #: Hashes, words and phrases that a task holds before it passes their counts on.
 BUFFER, WORDS, PHRASES = 4_000_000, 300_000, 800_000
@@ -96,25 +105,29 @@ def spoken(docs: DataFrame) -> DataFrame:
 
 
 def mined(docs: DataFrame, support: int, shards: int, longer: np.ndarray | None = None) -> DataFrame:
-    """h: hashes that are locally frequent in a shard. Of words and of two words; with the bitmap of those, of three and four words."""
+    """h, n, home, word: hashes that are locally frequent in a shard and have the support in all, with their count in all and the first task that saw them. Of words and of two words; with the bitmap of those, of three and four words."""
     sent = docs.sparkSession.sparkContext.broadcast(longer) if longer is not None else None
 
     def count(batches):
         from pyspark import TaskContext
 
-        shard = TaskContext.get().partitionId() % shards
-        known, held, size = Hashes(), [], 0
+        task = TaskContext.get().partitionId()
+        known, held, size = Hashes(), ([], []), 0
 
         def flushed():
-            h, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            for a in range(0, len(h), 1 << 17):
-                b = slice(a, a + (1 << 17))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h[b]), shard, np.int32)), pa.array(h[b].view(np.int64)), pa.array(n[b].astype(np.int64))], ["shard", "h", "n"])
+            for word, own in enumerate(held):
+                h, n = np.unique(np.concatenate(own), return_counts=True) if own else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+                for a in range(0, len(h), 1 << 17):
+                    b = slice(a, a + (1 << 17))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h[b]), 2 * task + word, np.int32)), pa.array(h[b].view(np.int64)), pa.array(n[b].astype(np.int64))], ["at", "h", "n"])
+                own.clear()
 
         for lang, texts in in_languages(batches):
             one, two, three, four = phrase_hashes(tokens(texts), known, lang)
             if sent is None:
-                new = [one[one != 0], two[two != 0]]
+                new = [two[two != 0]]
+                held[1].append(one[one != 0])
+                size += len(held[1][-1])
             else:
                 ok = passed(sent.value, two)
                 ok3 = (three != 0) & ok
@@ -122,16 +135,21 @@ def mined(docs: DataFrame, support: int, shards: int, longer: np.ndarray | None
                 ok4 = (four != 0) & ok3
                 ok4[:-1] &= ok3[1:]
                 new = [three[ok3], four[ok4]]
-            held += new
+            held[0].extend(new)
             size += sum(map(len, new))
             if size > BUFFER:
                 yield from flushed()
-                held, size = [], 0
+                size = 0
         yield from flushed()
 
     local = -(-support // shards)
-    rows = spoken(docs).mapInArrow(count, "shard int, h long, n long")
-    return rows.groupBy("shard", "h").agg(F.sum("n").alias("n")).where(F.col("n") >= local).select("h")
+    rows = spoken(docs).mapInArrow(count, "at int, h long, n long")
+    shard = F.shiftright("at", 1) % shards
+    sums = [F.sum(F.when(shard == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(shards)]
+    rows = rows.groupBy("h").agg(*sums, F.min("at").alias("at"))
+    frequent = reduce(or_, (F.col(f"n{k}") >= local for k in range(shards)))
+    n = reduce(add, (F.col(f"n{k}") for k in range(shards)))
+    return rows.where(frequent & (n >= support)).select("h", n.alias("n"), F.shiftright("at", 1).alias("home"), (F.col("at") % 2 == 1).alias("word"))
 
 
 def bitmap(hashes: DataFrame) -> np.ndarray:
@@ -144,8 +162,60 @@ def bitmap(hashes: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
+def linked(docs: DataFrame, homes: np.ndarray, at_home: bool = True) -> DataFrame:
+    """lang, h, cuts, inner: phrases of the bitmap with the hashes of their two parts at each cut and of the phrases inside them. With at_home the bitmap is of hashes salted by the one task that shall give them."""
+    sent = docs.sparkSession.sparkContext.broadcast(homes)
+
+    def link(batches):
+        from pyspark import TaskContext
+
+        known, seen, salt = Hashes(), set(), salted(TaskContext.get().partitionId()) if at_home else np.uint64(0)
+        for lang, texts in in_languages(batches):
+            levels = phrase_hashes(tokens(texts), known, lang)
+            for k in range(2, LONGEST + 1):
+                h = levels[k - 1]
+                at = np.flatnonzero(passed(sent.value, np.where(h != 0, h ^ salt, 0)))
+                own, first = np.unique(h[at], return_index=True)
+                new = np.fromiter((x not in seen for x in own.tolist()), bool, len(own))
+                if len(seen) > PHRASES:  # what comes twice is dropped later
+                    seen.clear()
+                seen.update(own.tolist())
+                own, at = own[new], at[first[new]]
+                cuts = [levels[size - 1][at + start] for cut in range(1, k) for start, size in ((0, cut), (cut, k - cut))]
+                inner = [levels[size - 1][at + start] for size in range(2, k) for start in range(k - size + 1)]
+                lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * len(x)), pa.array((np.stack(x, 1) if x else np.zeros(0, np.uint64)).reshape(-1).view(np.int64))) for x in (cuts, inner)]
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(own.view(np.int64)), *lists], ["lang", "h", "cuts", "inner"])
+
+    return spoken(docs).mapInArrow(link, "lang string, h long, cuts array<long>, inner array<long>")
+
+
+def salted(task):
+    """What a task's number changes in a hash: both of its places in a bitmap."""
+    return np.uint64((task & 0xFFFFF) << 44 ^ task & 0xFFFFF)
+
+
+def chosen(docs: DataFrame, frequent: DataFrame, top: int) -> tuple[DataFrame, DataFrame]:
+    """By hash, the phrases that can be among the first of their language (h), and these with the parts of their cuts (h). Ties of score and count all stay."""
+    home = F.col("home").cast("long").bitwiseAND(0xFFFFF)
+    phrases = frequent.where("not word")
+    links = linked(docs, bitmap(phrases.select(F.col("h").bitwiseXOR(F.shiftleft(home, 44)).bitwiseXOR(home).alias("h"))))
+    links = written(links.join(phrases.select("h", F.col("n").alias("a")), "h").dropDuplicates(["h"]), "links")
+    lost = written(phrases.join(links, "h", "left_anti").select("h"), "lost")
+    if not lost.isEmpty():  # the files were dealt otherwise than before
+        more = linked(docs, bitmap(lost), at_home=False).join(phrases.select("h", F.col("n").alias("a")), "h").join(lost, "h", "left_semi").dropDuplicates(["h"])
+        links = written(links.unionByName(more), "links")
+    of = lambda side, name: frequent.select(F.col("h").alias(side), F.col("n").alias(name))
+    cuts = links.select("lang", "h", "a", F.posexplode(F.expr("transform(sequence(0, size(cuts) - 2, 2), i -> struct(cuts[i] AS left, cuts[i + 1] AS right))")).alias("k", "cut"))
+    cuts = cuts.select("lang", "h", "a", "cut.left", "cut.right").join(of("left", "l"), "left").join(of("right", "r"), "right")
+    lowest = cuts.groupBy("lang", "h", "a").agg(F.min(score("a", "l", "r")).alias("score"))
+    cover = links.select("a", F.explode("inner").alias("h")).groupBy("h").agg(F.max("a").alias("longer"))
+    left = lowest.join(cover, "h", "left").where(uncovered("a"))
+    best = written(first(left, top, F.rank(), [F.desc("score"), F.desc("a")], "h").select("h"), "best")
+    return best, best.union(links.join(best, "h", "left_semi").select(F.explode("cuts").alias("h"))).distinct()
+
+
 def counted(docs: DataFrame, frequent: np.ndarray, support: int) -> DataFrame:
-    """lang, phrase, words, f: exact counts of the words and phrases of the bitmap that have the support, and of all words (phrase null)."""
+    """lang, phrase, words, f, h: exact counts of the words and phrases of the bitmap that have the support, and of all words (phrase null); the hash is null but for phrases of two words or more."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def count(batches):
@@ -156,8 +226,11 @@ def counted(docs: DataFrame, frequent: np.ndarray, support: int) -> DataFrame:
                 rows = list(found.items())
                 for at in range(0, len(rows), 1 << 16):
                     part = rows[at : at + (1 << 16)]
-                    n = len(part)
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), pa.array([p for p, _ in part], pa.binary()).cast(pa.string()), pa.array([k] * n, pa.int32()), pa.array([c for _, c in part], pa.int64())], ["lang", "phrase", "words", "f"])
+                    n, h = len(part), pa.nulls(len(part), pa.int64())
+                    if k > 1:
+                        h = phrase_hashes(b" . ".join([p for p, _ in part]).split(), known, lang)[k - 1]
+                        h = pa.array(h[h != 0].view(np.int64))
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), pa.array([p for p, _ in part], pa.binary()).cast(pa.string()), pa.array([k] * n, pa.int32()), pa.array([c for _, c in part], pa.int64()), h], ["lang", "phrase", "words", "f", "h"])
             own.clear()
 
         for lang, texts in in_languages(batches):
@@ -165,51 +238,59 @@ def counted(docs: DataFrame, frequent: np.ndarray, support: int) -> DataFrame:
             levels = phrase_hashes(words, known, lang)
             own.setdefault((lang, 0), Counter())[None] += int((levels[0] != 0).sum())
             for k in range(1, LONGEST + 1):
-                parts = compress(zip(*(words[a:] for a in range(k)), strict=False), passed(sent.value, levels[k - 1]).tolist())
-                own.setdefault((lang, k), Counter()).update(map(b" ".join, parts))
+                at = np.flatnonzero(passed(sent.value, levels[k - 1])).tolist()
+                own.setdefault((lang, k), Counter()).update(b" ".join(words[a : a + k]) for a in at)
             if sum(map(len, own.values())) > PHRASES:
                 yield from flushed()
         yield from flushed()
 
-    rows = spoken(docs).mapInArrow(count, "lang string, phrase string, words int, f long")
-    return rows.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f")).where((F.col("words") == 0) | (F.col("f") >= support))
+    rows = spoken(docs).mapInArrow(count, "lang string, phrase string, words int, f long, h long")
+    return rows.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"), F.max("h").alias("h")).where((F.col("words") == 0) | (F.col("f") >= support))
 
 
-def scored(counts: DataFrame) -> DataFrame:
-    """lang, phrase, words, a, l, r, score: each phrase with its lowest-scoring cut, and without those that a longer one covers."""
+def score(a: str, left: str, right: str):
+    return F.expr(f"(CAST(2000000 AS DECIMAL(7, 0)) * CAST({a} AS DECIMAL(19, 0))) DIV (CAST({left} AS DECIMAL(19, 0)) + CAST({right} AS DECIMAL(19, 0)))").cast("long")
+
+
+def uncovered(a: str):
+    """Whether no longer phrase has four fifths of the count."""
+    wide = lambda c: F.col(c).cast("decimal(19,0)")
+    return F.col("longer").isNull() | (100 * wide("longer") < 80 * wide(a))
+
+
+def scored(counts: DataFrame, best: DataFrame) -> DataFrame:
+    """lang, phrase, words, a, l, r, score: each phrase of the best hashes with its lowest-scoring cut, and without those that a longer one covers."""
     known = counts.where("words between 1 and 3").select("lang", F.col("phrase").alias("part"), F.col("f").alias("of_part"))
-    phrases = counts.where("words >= 2").select("lang", "phrase", "words", F.col("f").alias("a"), F.split("phrase", " ").alias("own"))
-    cuts = phrases.select("lang", "phrase", "words", "a", "own", F.explode(F.expr("sequence(1, words - 1)")).alias("k"))
+    phrases = counts.where("words >= 2").select("lang", "phrase", "words", F.col("f").alias("a"), F.split("phrase", " ").alias("own"), "h")
+    cuts = phrases.join(best, "h", "left_semi").select("lang", "phrase", "words", "a", "own", F.explode(F.expr("sequence(1, words - 1)")).alias("k"))
     cuts = cuts.select("lang", "phrase", "words", "a", "k", F.expr("array_join(slice(own, 1, k), ' ')").alias("left"), F.expr("array_join(slice(own, k + 1, words), ' ')").alias("right"))
     of = lambda side, name: known.select("lang", F.col("part").alias(side), F.col("of_part").alias(name))
     cuts = cuts.join(of("left", "l"), ["lang", "left"]).join(of("right", "r"), ["lang", "right"])
-    score = F.expr("(CAST(2000000 AS DECIMAL(7, 0)) * CAST(a AS DECIMAL(19, 0))) DIV (CAST(l AS DECIMAL(19, 0)) + CAST(r AS DECIMAL(19, 0)))").cast("long")
-    lowest = cuts.groupBy("lang", "phrase", "words", "a").agg(F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("cut"))
+    lowest = cuts.groupBy("lang", "phrase", "words", "a").agg(F.min(F.struct(score("a", "l", "r").alias("score"), "k", "l", "r")).alias("cut"))
     inside = phrases.where("words > 2").select("lang", "a", "own", "words", F.explode(F.expr("sequence(2, words - 1)")).alias("size"))
     inside = inside.select("lang", "a", F.explode(F.expr("transform(sequence(1, words - size + 1), i -> array_join(slice(own, i, size), ' '))")).alias("phrase"))
     cover = inside.groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
-    wide = lambda c: F.col(c).cast("decimal(19,0)")
-    left = lowest.join(cover, ["lang", "phrase"], "left").where(F.col("longer").isNull() | (100 * wide("longer") < 80 * wide("a")))
+    left = lowest.join(cover, ["lang", "phrase"], "left").where(uncovered("a"))
     return left.select("lang", "phrase", "words", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), F.col("cut.score").alias("score"))
 
 
-def ranked(rows: DataFrame, top: int) -> DataFrame:
+def first(rows: DataFrame, top: int, place, order: list, key: str) -> DataFrame:
     """The first rows of each language: of many small parts first, then of fewer, so that no task sorts a language."""
-    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     for parts in (4096, 64):
         within = Window.partitionBy("lang", "part_").orderBy(*order)
-        rows = rows.withColumn("part_", F.pmod(F.xxhash64("phrase"), F.lit(parts))).withColumn("rank", F.row_number().over(within)).where(F.col("rank") <= top).drop("rank", "part_")
-    return rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
+        rows = rows.withColumn("part_", F.pmod(F.xxhash64(key), F.lit(parts))).withColumn("rank", place.over(within)).where(F.col("rank") <= top).drop("rank", "part_")
+    return rows.withColumn("rank", place.over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
 
 
 def collocations(docs: DataFrame, support: int = SUPPORT, top: int = TOP, shards: int = SHARDS) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score of docs (text, lang)."""
-    bits = bitmap(mined(docs, support, shards))
-    bits |= bitmap(mined(docs, support, shards, bits))
-    counts = written(counted(docs, bits, support), "phrases")
-    best = ranked(scored(counts), top)
+    short = written(mined(docs, support, shards), "short")
+    longer = written(mined(docs, support, shards, bitmap(short.select("h"))), "longer")
+    best, needed = chosen(docs, short.union(longer), top)
+    counts = written(counted(docs, bitmap(needed), support), "phrases")
+    rows = first(scored(counts, best), top, F.row_number(), [F.desc("score"), F.desc("a"), F.asc("phrase")], "phrase")
     n = counts.where("words = 0").select("lang", F.col("f").alias("n"))
-    return best.join(n, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return rows.join(n, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
 def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
